@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from labelmill.functions.storage import checkpointed, table
 from labelmill.llm.frequent import frequent_values
+from labelmill.llm.packing import MAX_BUDGETS, pack, usage
 from labelmill.llm.quantiles import combine, percentiles, sketches
 from labelmill.llm.reservoir import fixed_size_sample
 from labelmill.llm.survivors import best_representatives
+from labelmill.llm.transducer import check_round_trip, count_tokens, encode_texts
 
 SAMPLE_SIZE = 25_000
 SITE = ["contig", "genome_i", "conversion"]
@@ -108,6 +110,25 @@ def p5_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return _molecules(spark, folder)
 
 
+def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_texts(table(spark, folder, "documents"), "text", ["doc_id"])
+
+
+def p6_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return check_round_trip(table(spark, folder, "documents"), "text", ["doc_id"])
+
+
+def p7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    # packing_budgets has four rows; more than MAX_BUDGETS are refused.
+    budgets = [(r["budget_id"], r["capacity_tokens"]) for r in table(spark, folder, "packing_budgets").limit(MAX_BUDGETS + 1).collect()]
+    return pack(count_tokens(documents, "text", ["doc_id"]), "n_tokens", ["doc_id"], budgets, n_items=documents.count())
+
+
+def p7_usage(spark: SparkSession, folder: str) -> DataFrame:
+    return usage(p7_packing(spark, folder))
+
+
 QUERIES = {
     "p1_sample": p1_sample,
     "p2_found": p2_found,
@@ -116,6 +137,10 @@ QUERIES = {
     "p4_percentiles": p4_percentiles,
     "p5_found": p5_found,
     "p5_survivors": p5_survivors,
+    "p6_ids": p6_ids,
+    "p6_round_trip": p6_round_trip,
+    "p7_packing": p7_packing,
+    "p7_usage": p7_usage,
 }
 
 _BARCODE = "regexp_replace(upper(trim(barcode)), '-[0-9]+$', '')"
