@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from labelmill.functions.storage import checkpointed, table
 from labelmill.llm.frequent import frequent_values
+from labelmill.llm.mojibake import repair_texts
 from labelmill.llm.packing import MAX_BUDGETS, pack, usage
 from labelmill.llm.quantiles import combine, percentiles, sketches
 from labelmill.llm.reservoir import fixed_size_sample
@@ -129,6 +130,15 @@ def p7_usage(spark: SparkSession, folder: str) -> DataFrame:
     return usage(p7_packing(spark, folder))
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_texts(table(spark, folder, "documents"), "text", ["doc_id"]).filter("garbled").select("doc_id")
+
+
+def p8_restored(spark: SparkSession, folder: str) -> DataFrame:
+    """Garbled documents with what could be restored."""
+    return repair_texts(table(spark, folder, "documents"), "text", ["doc_id"]).filter("garbled").select("doc_id", "restored", "complete")
+
+
 QUERIES = {
     "p1_sample": p1_sample,
     "p2_found": p2_found,
@@ -141,6 +151,8 @@ QUERIES = {
     "p6_round_trip": p6_round_trip,
     "p7_packing": p7_packing,
     "p7_usage": p7_usage,
+    "p8_found": p8_found,
+    "p8_restored": p8_restored,
 }
 
 _BARCODE = "regexp_replace(upper(trim(barcode)), '-[0-9]+$', '')"
