@@ -216,7 +216,11 @@ def run_estimate(spark: SparkSession, a, error) -> None:
     inputs = [spark.read.parquet(f"{d}/counts") for d in a.count_dirs]
     genes = spark.read.parquet(f"{a.count_dirs[0]}/genes")
     out = estimate(inputs, genes, labels[0], reads=a.reads, barcodes=[tables.read_list(spark, p) for p in a.barcodes] if a.barcodes else None, groups=[tables.read_groups(spark, p) for p in a.groups] if a.groups else None, ignore_groups=a.ignore_groups_for_est, only_genes=tables.read_list(spark, a.genes, "gx") if a.genes else None, downsample_count=number, downsample_share=share, downsample_by=by, cell_threshold=a.cell_threshold, cell_gene_threshold=a.cell_gene_threshold, known_p_e=known, control=a.control, method=a.method, nasc=a.nasc, by_name=a.gene_names, seed=a.seed)
-    write = lambda df, name: df.orderBy(*[c for c in ("barcode", "group", "gx") if c in df.columns]).write.mode("overwrite").csv(f"{a.o}/{name}", header=True)
+
+    def write(df, name: str) -> None:
+        keys = [c for c in ("barcode", "group", "gx") if c in df.columns]
+        (df.orderBy(*keys) if keys else df).write.mode("overwrite").csv(f"{a.o}/{name}", header=True)
+
     write(out.p_e, "p_e")
     for prefix, parts in (("A", out.histograms), ("pi", out.pi), ("alpha", out.alpha)):
         for (r, label), df in parts.items():

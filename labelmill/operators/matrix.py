@@ -68,7 +68,8 @@ def split_by_alpha(split: DataFrame, alpha: DataFrame, by: list[str] = ("barcode
     a = F.least(F.greatest(F.col("alpha_"), F.lit(0.0)), F.lit(1.0))
     joined = split.join(alpha.select(*by, F.col("alpha").alias("alpha_")), list(by))
     every = F.col("unlabeled") + F.col("labeled")
-    est = F.coalesce(F.least(F.try_divide(F.col("labeled").cast("double"), a), every.cast("double")), F.when(F.col("labeled") > 0, every.cast("double")).otherwise(0.0))
+    # Where nothing can be detected, a labeled read tells that all may be new, and none that none is.
+    est = F.when(a > 0, F.least(F.try_divide(F.col("labeled").cast("double"), a), every.cast("double"))).when(F.col("labeled") > 0, every.cast("double")).otherwise(0.0)
     return joined.withColumn("est_", est).select("barcode", gene, (every - F.col("est_")).alias("unlabeled_est"), F.col("est_").alias("labeled_est"))
 
 

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from labelmill.functions.sequences import BASES, BASE_COLUMNS
+from labelmill.functions.storage import checkpointed
 from labelmill.operators import filters, intervals, votes
 
 _CIGAR = re.compile(r"(\d+)([MIDNSHP=X])")
@@ -154,6 +155,8 @@ def parse_reads(records: DataFrame, genes: DataFrame, transcripts: DataFrame | N
         reads = placed.join(classes, key).drop("segments", "end")
     else:
         reads = reads.filter("gx is not null").withColumn("velocity", F.lit("unassigned"))
+    # Both tables come from reads that are decoded once.
+    reads = checkpointed(reads.select(*key, "contig", "barcode", "umi", "gx", *BASE_COLUMNS, "velocity", "transcriptome", "score", "found"))
     alignments = reads.select(*key, "barcode", "umi", "gx", *BASE_COLUMNS, "velocity", "transcriptome", "score")
     found = reads.select(*key, "contig", F.explode("found").alias("f")).select(*key, "contig", "f.genome_i", "f.conversion", "f.quality")
     return alignments, found

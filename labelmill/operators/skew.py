@@ -166,7 +166,7 @@ def fragment_replicate_join(left: DataFrame, right: DataFrame, keys: list[str],
     names: dict[str, str] = {}
     for c in right.columns:
         names[c] = free_name(f"{c}_r" if c in keys else c, [*left.columns, task, *names.values()])
-    other = _with_places(right, plan, "places_" + task, keys).withColumn(task, F.explode("places_" + task)).drop("places_" + task)
+    other = _with_places(right, plan, "places_" + task, keys).withColumn(task, F.explode(F.array_distinct("places_" + task))).drop("places_" + task)
     shard = free_name("shard", [*left.columns, *names.values(), task])
     other = other.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], F.col(task).alias(shard))
     on = F.col(task) == F.col(shard)

@@ -580,7 +580,7 @@ def split_matrix_pi(t: Tables) -> DataFrame:
 
 
 @query(f"""SELECT barcode, gx, round(unlabeled + labeled - est, 6) AS unlabeled_est, round(est, 6) AS labeled_est FROM (SELECT s.barcode, s.gx, unlabeled, labeled,
-    coalesce(least(labeled / nullif(least(greatest(alpha, 0.0), 1.0), 0), unlabeled + labeled), CASE WHEN labeled > 0 THEN unlabeled + labeled ELSE 0 END) AS est FROM ({_SPLIT}) s JOIN ({_ALPHA}) a ON s.barcode = a.barcode)""")
+    CASE WHEN alpha > 0 THEN least(labeled / least(alpha, 1.0), unlabeled + labeled) WHEN labeled > 0 THEN unlabeled + labeled ELSE 0 END AS est FROM ({_SPLIT}) s JOIN ({_ALPHA}) a ON s.barcode = a.barcode)""")
 def split_matrix_alpha(t: Tables) -> DataFrame:
     return matrix.split_by_alpha(matrix.split_counts(t.counts_tc, ["TC"]), rates.detection(t.counts_tc, _pi(t), ["TC"], ["barcode"], ["barcode"]))
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from labelmill.functions.sequences import UNUSABLE_VELOCITY
+from labelmill.functions.storage import checkpointed
 from labelmill.operators import counting, estimators, filters, matrix, rates, sample
 
 
@@ -77,7 +78,7 @@ def estimate(inputs: list[DataFrame], genes: DataFrame, labels: list[list[str]],
         p_e = rates.background_nasc(rates.mutation_rates(forward, [by]), [by])
     else:
         p_e = rates.background(counts, labels, [by])
-    p_e = p_e.filter(F.col(by).isNotNull() & F.col("p_e").isNotNull())
+    p_e = checkpointed(p_e.filter(F.col(by).isNotNull() & F.col("p_e").isNotNull()))
     out = EstimateResult(chosen, p_e)
     everything = "transcriptome" if facts["all_transcriptome"] else "total"
     keys = ["barcode", "gx", *(["group"] if groups else [])]
@@ -87,18 +88,19 @@ def estimate(inputs: list[DataFrame], genes: DataFrame, labels: list[list[str]],
         alone = filters.exclusive_to(counts, label, labels)
         for r in dict.fromkeys([everything, *chosen]):
             out.histograms[r, name] = rates.aggregate_counts(filters.read_group(alone, r), label, keys)
-        out.p_c[name] = estimators.fit_induced(out.histograms[everything, name], p_e, [by], cell_threshold, nasc)
+        # Fits are small and costly: they are kept, not run again for each table that needs them.
+        out.p_c[name] = checkpointed(estimators.fit_induced(out.histograms[everything, name], p_e, [by], cell_threshold, nasc))
         for r in chosen:
             own = filters.read_group(alone, r)
             new, old = matrix.LABEL_LAYERS[r]
             if method == "pi_g":
                 to = ["group" if groups and not ignore_groups else "barcode", "gx"]
-                pi = estimators.fit_share(out.histograms[r, name], p_e, out.p_c[name], to, [by], cell_gene_threshold, nasc)
+                pi = checkpointed(estimators.fit_share(out.histograms[r, name], p_e, out.p_c[name], to, [by], cell_gene_threshold, nasc))
                 out.pi[r, name] = pi
                 per_cell = matrix.fan_out(pi, group_of) if to[0] == "group" else pi
                 est = matrix.split_by_pi(matrix.counts_matrix(filters.read_group(counts, r)), per_cell)
             else:
-                pi = estimators.fit_share(out.histograms[r, name], p_e, out.p_c[name], [by], [by], cell_gene_threshold, nasc)
+                pi = checkpointed(estimators.fit_share(out.histograms[r, name], p_e, out.p_c[name], [by], [by], cell_gene_threshold, nasc))
                 out.pi[r, name] = pi
                 to = "group" if groups and not ignore_groups else "barcode"
                 alpha = rates.detection(filters.read_group(counts, r), pi, label, [to], [by])
