@@ -33,6 +33,8 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from labelmill.llm.parallel import spread
+
 #: Bits of the two hash tables for pairs of characters and of those for single ones.
 PAIR_BITS, SINGLE_BITS = 19, 16
 #: Nats by which the gains of a document must exceed the price of their edges.
@@ -296,6 +298,12 @@ class Repairer:
                 gains[_kind(path)] += gain
         return {k: g - sum(PRICES[e] for e in k) for k, g in gains.items()}
 
+    def follow(self, text: str, path: tuple) -> str:
+        """text after all edges of a path."""
+        for edge in path:
+            text = next((t for _, t in self.apply(text, edge)), text)
+        return text
+
     def repair(self, text: str | None) -> tuple[bool, str | None, bool]:
         """Whether a text is garbled, the text with all repairs, and whether nothing lost is left.
 
@@ -311,10 +319,15 @@ class Repairer:
         for w in set(stretches(text)):
             path, _ = self.judge(w)
             if path and _kind(path) in wrong:
-                to = w
-                for edge in path:
-                    to = next((t for _, t in self.apply(to, edge)), to)
-                done[w] = to
+                done[w] = self.follow(w, path)
+                continue
+            # What is known to have gone wrong elsewhere in the text needs no more evidence here.
+            for kind in sorted(wrong):
+                to = self.follow(w, kind) if RESTORE not in kind else w
+                # To be valid UTF-8 is evidence by itself; of other encodings the result must be likelier.
+                if to != w and (all(e[1] in ("utf-8", "") for e in kind) or self.model.cost(shape(to)) < self.model.cost(shape(w))):
+                    done[w] = to
+                    break
         parts = regex.split(r"([ \t\r\n])", text)
         out = "".join(done.get(p, p) for p in parts)
         return True, out, LOST.search(out) is None
@@ -369,7 +382,7 @@ def learn(documents: DataFrame, text: str) -> tuple[Plausibility, str]:
     What reaches the driver is at most one number for each place of the tables and for each
     character of Unicode.
     """
-    shapes = documents.select(F.col(f"`{text}`").alias("text")).mapInPandas(_shapes, "digest string, shapes array<string>")
+    shapes = spread(documents.select(F.col(f"`{text}`").alias("text"))).mapInPandas(_shapes, "digest string, shapes array<string>")
     counts = shapes.dropDuplicates(["digest"]).select("shapes").mapInPandas(_tally, "kind long, place long, n long").groupBy("kind", "place").agg(F.sum("n").alias("n")).toPandas()
     singles, pairs = np.zeros((2, 1 << SINGLE_BITS)), np.zeros((2, 1 << PAIR_BITS))
     for table, k in ((singles[0], 0), (singles[1], 1), (pairs[0], 2), (pairs[1], 3)):
@@ -404,6 +417,6 @@ def repair_texts(documents: DataFrame, text: str, keep: list[str]) -> DataFrame:
             found = [repairer.repair(x if isinstance(x, str) else None) for x in pdf.iloc[:, n]]
             yield pdf.iloc[:, :n].assign(**{"garbled": [x[0] for x in found], "restored": [x[1] for x in found], "complete": [x[2] for x in found]})
 
-    own = documents.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").alias(f"c{n}"))
+    own = spread(documents.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").alias(f"c{n}")))
     schema = T.StructType([*own.schema.fields[:n], T.StructField("garbled", T.BooleanType()), T.StructField("restored", T.StringType()), T.StructField("complete", T.BooleanType())])
     return own.mapInPandas(run, schema).withColumnsRenamed({f"c{i}": c for i, c in enumerate(keep)})

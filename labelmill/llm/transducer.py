@@ -25,6 +25,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from labelmill.functions.names import free_name
+from labelmill.llm.parallel import spread
 
 #: The pattern of byte-level BPE of this vocabulary: fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -300,15 +301,6 @@ def decode(ids: list[int], path: str) -> str:
     return "".join(reader.feed(known.get(i, b"")) for i in ids) + reader.close()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df in enough partitions to keep all cores busy with work that costs far more than a shuffle.
-
-    Only small tables have fewer partitions than cores; large ones stay as they are read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < 2 * cores else df
-
-
 class _Encode:
     def __init__(self, path: str, lengths: bool) -> None:
         self.path, self.lengths = path, lengths
