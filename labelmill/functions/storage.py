@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +29,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of df, computed now and read from reliable storage afterwards."""
     use_checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the place that checkpoints go to, which all executors share."""
+    use_checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

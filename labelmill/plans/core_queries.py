@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from labelmill.functions.sequences import BASE_COLUMNS, BASES, CONVERSIONS, N_COLUMNS, base_col, complement, complement_of, content, n_col, total
 from labelmill.functions.stats import beta_mean, beta_mode, binomial_pmf_col, clip, guess_beta
-from labelmill.functions.storage import table
-from labelmill.operators import counting, filters, intervals, matrix, rates, sample, votes
+from labelmill.functions.storage import scratch_folder, table
+from labelmill.operators import counting, filters, intervals, matrix, rates, reads, sample, votes
+from labelmill.streaming import counts as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -611,3 +612,37 @@ def set_differences(t: Tables) -> DataFrame:
 @query(f"SELECT velocity, {', '.join(f'CAST(sum({base_col(b)}) AS BIGINT) AS sum_{base_col(b)}' for b in BASES)}, CAST(sum({_TOTAL}) AS BIGINT) AS n_conversions FROM counts_tc GROUP BY velocity")
 def base_content(t: Tables) -> DataFrame:
     return rates.base_content(t.counts_tc, ["velocity"])
+
+
+# ---- records and streams
+
+
+def _records(t: Tables) -> DataFrame:
+    """Alignment records of one base, one for each mismatch."""
+    known = t.mismatches().dropna(subset=["contig", "genome_i", "quality"])
+    name = F.concat_ws("/", "read_id", "aln_index", "contig", "genome_i", "conversion")
+    ref, alt = F.substring("conversion", 1, 1), F.substring("conversion", 2, 1)
+    return known.select(name.alias("read_id"), F.lit(0).alias("flag"), "contig", F.col("genome_i").alias("start"), F.lit("1M").alias("cigar"), alt.alias("seq"), F.array("quality").alias("quality"), F.create_map(F.lit("MD"), F.concat(F.lit("0"), ref, F.lit("0"))).alias("tags"))
+
+
+_NAMED = f"SELECT read_id || '/' || CAST(aln_index AS VARCHAR) || '/' || contig || '/' || CAST(genome_i AS VARCHAR) || '/' || conversion AS read_id, contig, genome_i, conversion, quality FROM ({_M}) WHERE contig IS NOT NULL AND genome_i IS NOT NULL AND quality IS NOT NULL"
+
+
+@query(f"SELECT read_id, {', '.join(f"CASE WHEN conversion[1] = '{b}' THEN 1 ELSE 0 END AS {base_col(b)}" for b in BASES)}, contig, genome_i, conversion, quality FROM ({_NAMED})")
+def decoded_mismatches(t: Tables) -> DataFrame:
+    decoded = reads.decode_reads(_records(t))
+    return decoded.select("read_id", *BASE_COLUMNS, "contig", F.explode("found").alias("f")).select("read_id", *BASE_COLUMNS, "contig", "f.genome_i", "f.conversion", "f.quality")
+
+
+@query(f"SELECT contig, genome_i, count(*) AS coverage FROM ({_NAMED}) GROUP BY ALL")
+def coverage_from_records(t: Tables) -> DataFrame:
+    return rates.coverage_of(reads.read_positions(_records(t)))
+
+
+@query(_SPLIT)
+def streamed_matrix(t: Tables) -> DataFrame:
+    """The matrix of counts that arrive as files, a few at a time."""
+    stream = streaming.read_stream(t.spark, f"{t.folder}/counts_tc.parque[t]", t.counts_tc.schema)
+    out = scratch_folder(t.spark, "matrix")
+    streaming.run_to_table(streaming.running_matrix(stream, ["TC"]), out, scratch_folder(t.spark, "progress"))
+    return t.spark.read.parquet(out)

@@ -30,6 +30,18 @@ def windowed_counts(stream: DataFrame, time: str, width: str, late: str, by: lis
     return counted.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *by, "n")
 
 
+def run_to_table(result: DataFrame, folder: str, checkpoint: str) -> None:
+    """Process what has arrived and keep the whole result as parquet in `folder` (mode complete).
+
+    Each batch writes the table anew, so a batch that is run again after a failure does no harm.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(folder)
+
+    result.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def run_once(result: DataFrame, name: str, mode: str, checkpoint: str) -> StreamingQuery:
     """Process what has arrived, into a table in memory; for tests and small results."""
     query = result.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
