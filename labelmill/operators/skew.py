@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from labelmill.functions.names import free_name
+from labelmill.functions.names import free_name, row_hash
 
 #: A key is split once it is heavier than 1 / SPLIT of the mean load of a task.
 SPLIT = 4
@@ -121,9 +121,13 @@ def _with_places(df: DataFrame, plan: LoadPlan, name: str, keys: list[str] | Non
 
 
 def assign_tasks(df: DataFrame, plan: LoadPlan, name: str) -> DataFrame:
-    """df with the task of each row; the rows of a heavy key take turns over its shards."""
+    """df with the task of each row; the rows of a heavy key are spread over its shards.
+
+    The shard is a hash of the row and its partition, so a task that is run again sends every row
+    where it went before, in whatever order its rows come; equal rows of different partitions part.
+    """
     places = free_name("places_", [*df.columns, name])
-    turn = F.pmod(F.monotonically_increasing_id(), F.size(places).cast("long")).cast("int")
+    turn = F.pmod(row_hash(df), F.size(places).cast("long")).cast("int")
     return _with_places(df, plan, places).withColumn(name, F.element_at(places, turn + 1)).drop(places)
 
 

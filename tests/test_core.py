@@ -55,6 +55,11 @@ def test_balanced_totals_and_loads(spark, tasks):
     assert max(sizes) <= 1.4 * 3000 / tasks and sum(sizes) == 3000
 
 
+def test_rows_with_maps_are_spread_too(spark):
+    df = spark.range(100).select(F.lit("hot").alias("k"), F.create_map(F.lit("a"), "id").alias("m"), "id")
+    assert skew.balanced_rows(df, ["k"], tasks=3).count() == 100
+
+
 def test_balanced_totals_of_nothing(spark):
     empty = spark.createDataFrame([], "k string, v int, task int")
     assert skew.balanced_totals(empty, ["k"], ["v"]).count() == 0
