@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from labelmill.functions.names import free_name
+from labelmill.functions.names import free_name, row_hash
 
 #: Items of a shard: enough for the waste at its end not to matter, few enough for one task.
 SHARD = 50_000
@@ -118,7 +118,8 @@ def pack(items: DataFrame, size: str, keep: list[str], budgets: list[tuple[int,
     n = items.count() if n_items is None else n_items
     shards = max(1, round(n / shard_items))
     own = items.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.greatest(F.coalesce(F.col(f"`{size}`"), F.lit(0)), F.lit(0)).cast("long").alias("size"))
-    own = own.withColumn("uid", F.xxhash64(F.monotonically_increasing_id())).withColumn("shard", F.pmod("uid", F.lit(shards)))
+    # By content and partition, so a task that is run again deals its items out as before.
+    own = own.withColumn("uid", row_hash(own)).withColumn("shard", F.pmod("uid", F.lit(shards)))
     kinds = F.array(*[F.struct(F.lit(b).cast("long").alias("budget"), F.lit(c).cast("long").alias("capacity")) for b, c in budgets]) if budgets else F.array().cast("array<struct<budget:bigint,capacity:bigint>>")
     own = own.withColumn("kind", F.explode(kinds)).select("kind.budget", "kind.capacity", *[f"k{i}" for i in range(len(keep))], "size", "uid", "shard")
     new = [T.StructField(c, T.LongType()) for c in ("container", "start", "length")]
