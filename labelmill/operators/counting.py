@@ -12,7 +12,16 @@ READ_KEY = ["read_id", "aln_index"]
 
 def without_snps(conversions: DataFrame, snps: DataFrame) -> DataFrame:
     """Mismatches that are not a known SNP of the same conversion."""
-    return conversions.join(snps.select("contig", "genome_i", "conversion").distinct(), ["contig", "genome_i", "conversion"], "left_anti")
+    return conversions.join(snps.select("contig", "genome_i", "conversion"), ["contig", "genome_i", "conversion"], "left_anti")
+
+
+def distinct_mismatches(conversions: DataFrame, quality: int = QUALITY) -> DataFrame:
+    """Good mismatches without repeated deliveries, with the best quality of each.
+
+    Rows are placed by read, which serves this step, the counts per read and their join alike.
+    """
+    good = mismatches(conversions, None, quality).repartition(*READ_KEY)
+    return good.groupBy(*READ_KEY, "contig", "genome_i", "conversion").agg(F.max("quality").alias("quality"))
 
 
 def count_per_read(conversions: DataFrame, key: list[str] = READ_KEY) -> DataFrame:
@@ -49,13 +58,13 @@ def complement_counts(counts: DataFrame, genes: DataFrame) -> DataFrame:
     return joined.select(*[swap(c, pairs[c]) if c in pairs else F.col(c) for c in counts.columns])
 
 
-def _best(df: DataFrame, keys: list[str], order: list[Column], extra: list[Column] = ()) -> DataFrame:
-    """The row with the greatest tuple of `order` for each key, by an aggregate that combines
-    before the shuffle.  Nulls are least; equal tuples are told apart by the row's own values."""
-    rest = [c for c in df.columns if c not in keys]
-    best = F.max(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], *[F.col(c).alias(f"r{i}") for i, c in enumerate(rest)])).alias("best_")
+def _best(df: DataFrame, keys: list[str], order: list[Column], ties: list[str], extra: list[Column] = ()) -> DataFrame:
+    """The row with the greatest tuple of `order` and `ties` for each key, by an aggregate that
+    combines before the shuffle.  Nulls are least; equal tuples are told apart by the other values."""
+    own = [*ties, *[c for c in df.columns if c not in keys and c not in ties]]
+    best = F.max(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], *[F.col(c).alias(f"r{i}") for i, c in enumerate(own)])).alias("best_")
     out = df.groupBy(*keys).agg(best, *extra)
-    names = [F.col(k) if k in keys else F.col(f"best_.r{rest.index(k)}").alias(k) for k in df.columns]
+    names = [F.col(k) if k in keys else F.col(f"best_.r{own.index(k)}").alias(k) for k in df.columns]
     return out.select(*names, *[F.col(c) for c in out.columns if c not in keys and c != "best_"])
 
 
@@ -73,7 +82,7 @@ def deduplicate_counts(counts: DataFrame, conversions: list[str] | None = None,
     order = _rank(conversions)
     if use_conversions and conversions is not None:
         order = [is_labeled(conversions), *order]
-    return _best(counts, ["barcode", "umi", "gx"], [*order, *[F.col(t) for t in ties]])
+    return _best(counts, ["barcode", "umi", "gx"], order, list(ties))
 
 
 def drop_multimappers(counts: DataFrame, conversions: list[str] | None = None, ties: list[str] = ("gx", "velocity")) -> DataFrame:
@@ -85,7 +94,7 @@ def drop_multimappers(counts: DataFrame, conversions: list[str] | None = None, t
     """
     none = ~F.bool_or(F.coalesce(F.col("transcriptome"), F.lit(False)))
     several = lambda c: F.coalesce(F.min(c) != F.max(c), F.lit(False))
-    best = _best(counts, ["read_id"], [*_rank(conversions), *[F.col(t) for t in ties]], [(none & several("gx")).alias("many_genes_"), (none & several("velocity")).alias("many_velocities_")])
+    best = _best(counts, ["read_id"], _rank(conversions), list(ties), [(none & several("gx")).alias("many_genes_"), (none & several("velocity")).alias("many_velocities_")])
     return best.filter(~F.col("many_genes_")).withColumn("velocity", F.when(F.col("many_velocities_"), "ambiguous").otherwise(F.col("velocity"))).drop("many_genes_", "many_velocities_")
 
 
@@ -94,11 +103,11 @@ def select_alignments(alignments: DataFrame, umis: bool = True) -> DataFrame:
     order = [F.coalesce(F.col("transcriptome"), F.lit(False)), F.col("score")]
     if umis:
         own = alignments.select("barcode", "umi", "gx", *READ_KEY, "transcriptome", "score")
-        return _best(own, ["barcode", "umi", "gx"], [*order, F.col("read_id"), F.col("aln_index")]).select(*READ_KEY)
+        return _best(own, ["barcode", "umi", "gx"], order, READ_KEY).select(*READ_KEY)
     none = ~F.bool_or(F.coalesce(F.col("transcriptome"), F.lit(False)))
     many = (none & F.coalesce(F.min("gx") != F.max("gx"), F.lit(False))).alias("many_genes_")
     own = alignments.select("gx", *READ_KEY, "transcriptome", "score")
-    return _best(own, ["read_id"], [*order, F.col("aln_index")], [many]).filter(~F.col("many_genes_")).select(*READ_KEY)
+    return _best(own, ["read_id"], order, ["aln_index"], [many]).filter(~F.col("many_genes_")).select(*READ_KEY)
 
 
 def split_by_velocity(counts: DataFrame, classes: list[str]) -> dict[str, DataFrame]:

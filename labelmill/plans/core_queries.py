@@ -107,19 +107,19 @@ _GROUPS = "SELECT DISTINCT barcode, 'g' || substr(barcode, 1, 1) AS \"group\" FR
     one AS ({_dedup_sql('SELECT * FROM stranded', ['barcode', 'umi', 'gx'], ['n_tc > 0', _T, 'score', 'n_tc', 'read_id'], [*_ALIGN, *N_COLUMNS])})
     SELECT barcode, gx, count(*) FILTER (n_tc = 0) AS unlabeled, count(*) FILTER (n_tc > 0) AS labeled FROM one GROUP BY ALL""")
 def flagship_labeled_matrix(t: Tables) -> DataFrame:
-    counted = counting.count_conversions(t.alignments.select(*_ALIGN), t.mismatches(), t.snps)
+    counted = counting.count_conversions(t.alignments.select(*_ALIGN), counting.distinct_mismatches(t.conversions), t.snps)
     stranded = counting.complement_counts(counted.select(*_ALIGN, *N_COLUMNS), t.genes)
     return matrix.split_counts(counting.deduplicate_counts(stranded, ["TC"]), ["TC"])
 
 
 @query(_COUNTED)
 def conversion_counts(t: Tables) -> DataFrame:
-    return counting.count_conversions(t.alignments.select(*_ALIGN), t.mismatches(), t.snps)
+    return counting.count_conversions(t.alignments.select(*_ALIGN), counting.distinct_mismatches(t.conversions), t.snps)
 
 
 @query(f"SELECT a.* FROM alignments a WHERE NOT EXISTS (SELECT 1 FROM ({_M}) m WHERE quality > 27 AND m.read_id = a.read_id AND m.aln_index = a.aln_index)")
 def reads_without_mismatch(t: Tables) -> DataFrame:
-    return counting.reads_without_mismatch(t.alignments, t.mismatches())
+    return counting.reads_without_mismatch(t.alignments, counting.distinct_mismatches(t.conversions))
 
 
 @query("SELECT * FROM conversions m WHERE NOT EXISTS (SELECT 1 FROM snps s WHERE s.contig = m.contig AND s.genome_i = m.genome_i AND s.conversion = m.conversion)")
@@ -431,7 +431,7 @@ _SNPS = f"SELECT contig, genome_i, conversion FROM ({_SITES}) JOIN ({_COVERAGE})
 
 @query(_SITES)
 def conversion_sites(t: Tables) -> DataFrame:
-    return rates.conversion_sites(t.mismatches(), ["TC"])
+    return rates.conversion_sites(counting.distinct_mismatches(t.conversions), ["TC"])
 
 
 @query(_COVERAGE)
@@ -447,12 +447,12 @@ def coverage_of_reads(t: Tables) -> DataFrame:
 
 @query(_SNPS)
 def snp_call(t: Tables) -> DataFrame:
-    return rates.detect_snps(rates.conversion_sites(t.mismatches(), ["TC"]), rates.site_coverage(t.coverage), 0.1, 2)
+    return rates.detect_snps(rates.conversion_sites(counting.distinct_mismatches(t.conversions), ["TC"]), rates.site_coverage(t.coverage), 0.1, 2)
 
 
 @query(f"SELECT contig, genome_i, conversion FROM ({_SNPS}) UNION SELECT contig, genome_i, conversion FROM snps")
 def snp_union(t: Tables) -> DataFrame:
-    return rates.union_snps(rates.detect_snps(rates.conversion_sites(t.mismatches(), ["TC"]), rates.site_coverage(t.coverage), 0.1, 2), t.snps)
+    return rates.union_snps(rates.detect_snps(rates.conversion_sites(counting.distinct_mismatches(t.conversions), ["TC"]), rates.site_coverage(t.coverage), 0.1, 2), t.snps)
 
 
 @query("SELECT s.contig, s.genome_i, v.conversion FROM (SELECT DISTINCT contig, genome_i FROM snps) s CROSS JOIN (VALUES " + ", ".join(f"('{c}')" for c in CONVERSIONS) + ") v(conversion)")
