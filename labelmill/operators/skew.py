@@ -105,19 +105,24 @@ def _heavy_table(df: DataFrame, plan: LoadPlan, name: str) -> DataFrame:
 def _with_places(df: DataFrame, plan: LoadPlan, name: str, keys: list[str] | None = None) -> DataFrame:
     """df with an array of the tasks that own its key: all shards of a heavy key, else one."""
     keys = keys or plan.keys
+    spark = df.sparkSession
     cols = [F.col(f"`{k}`") for k in keys]
-    light = F.array(F.element_at(F.lit(plan.buckets), _bucket(cols, len(plan.buckets)) + 1))
-    if not plan.heavy:
-        return df.withColumn(name, light)
-    # At most SPLIT heavy keys for each task: small enough to send to every executor.
-    known = _heavy_table(df.select(*[F.col(f"`{k}`").alias(p) for k, p in zip(keys, plan.keys)]), plan, name)
-    known = known.select(*[F.col(f"h{i}").alias(free_name(f"h{i}", df.columns)) for i in range(len(keys))], F.col(name).alias(free_name("places", [*df.columns, name])))
-    at = known.columns
-    match = None
-    for c, h in zip(cols, at):
-        one = c.eqNullSafe(F.col(h))
-        match = one if match is None else match & one
-    return df.join(F.broadcast(known), match, "left").withColumn(name, F.coalesce(F.col(at[-1]), light)).drop(*at)
+    bucket, task = free_name("bucket", [*df.columns, name]), free_name("owner", [*df.columns, name])
+    # BUCKETS rows, and below SPLIT rows, for each task: small enough to send to every executor.
+    light = spark.createDataFrame(list(enumerate(plan.buckets)), f"`{bucket}` int, `{task}` int")
+    out = df.withColumn(bucket, _bucket(cols, len(plan.buckets))).join(F.broadcast(light), bucket, "left")
+    own = F.array(F.col(task))
+    if plan.heavy:
+        known = _heavy_table(df.select(*[F.col(f"`{k}`").alias(p) for k, p in zip(keys, plan.keys)]), plan, name)
+        known = known.select(*[F.col(f"h{i}").alias(free_name(f"h{i}", [*df.columns, bucket, task])) for i in range(len(keys))], F.col(name).alias(free_name("places", [*df.columns, name, bucket, task])))
+        at = known.columns
+        match = None
+        for c, h in zip(cols, at):
+            one = c.eqNullSafe(F.col(h))
+            match = one if match is None else match & one
+        out = out.join(F.broadcast(known), match, "left")
+        own = F.coalesce(F.col(at[-1]), own)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], own.alias(name))
 
 
 def assign_tasks(df: DataFrame, plan: LoadPlan, name: str) -> DataFrame:
