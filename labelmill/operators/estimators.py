@@ -105,6 +105,8 @@ def new_share(k, n, count, p_e: float, p_c: float) -> tuple[float, float, float]
     """Posterior means of alpha, beta and of the share of new reads in a mixture of two binomials."""
     logit, prior, with_a, with_b = _prior()
     k, n, count = np.asarray(k, float), np.asarray(n, float), np.asarray(count, float)
+    # A rate of 0 or 1 is taken as all but that, so that no read is quite impossible.
+    p_e, p_c = (min(max(p, 1e-12), 1 - 1e-12) for p in (p_e, p_c))
     # Coefficients of the binomials cancel; the mixture is compared with its old part.
     log_odds = k * (np.log(p_c) - np.log(p_e)) + (n - k) * (np.log1p(-p_c) - np.log1p(-p_e))
     log_share, log_rest = -np.logaddexp(0, -logit), -np.logaddexp(0, logit)

@@ -202,6 +202,11 @@ def test_no_rate_above_background():
     assert got is None or got > 0.2
 
 
+def test_a_background_of_nothing_is_no_error():
+    a, b, pi = estimators.new_share([0, 2], [20, 20], [5, 5], 0.0, 0.1)
+    assert np.isfinite([a, b, pi]).all() and 0.4 < pi < 0.8
+
+
 def test_flat_prior_without_reads():
     assert estimators.new_share([], [], [], 0.01, 0.1)[2] == pytest.approx(0.5, abs=1e-6)
     assert estimators.beta_mode_of(2, 2) == 0.5 and estimators.beta_mode_of(2, 1) == 1 and estimators.beta_mode_of(1, 2) == 0 and np.isnan(estimators.beta_mode_of(0.5, 0.5))
