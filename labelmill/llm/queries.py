@@ -88,27 +88,26 @@ def _clean(name: str, suffix: bool = False) -> Column:
     return F.when(~text.isin("NA", "-"), text)
 
 
-def _molecules(spark: SparkSession, folder: str) -> DataFrame:
+def _molecules(spark: SparkSession, folder: str, keep: list[str]) -> DataFrame:
     late = lambda c: F.struct(c.isNull().alias("none"), c.alias("value"))
     order = [
         F.when(F.col("transcriptome"), 0).when(~F.col("transcriptome"), 1).otherwise(2),
         late(-F.col("score")),
         F.col("velocity").isNull(),
         late(-F.unix_micros(F.col("loaded_at").cast("timestamp"))),
-        F.col("read_id"),
-        F.col("aln_index"),
+        "read_id",
+        "aln_index",
     ]
     keys = {"barcode": _clean("barcode", suffix=True), "umi": _clean("umi"), "gx": F.when(~F.col("gx").isin("NA", "-"), F.col("gx"))}
-    keep = ["read_id", "aln_index", "base_a", "base_c", "base_g", "base_t", "run_day", "piece", "loaded_at"]
     return best_representatives(table(spark, folder, "alignments"), keys, order, keep, ["velocity", "transcriptome", "score"], ["velocity", "transcriptome"], "loaded_at", least=2)
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    return _molecules(spark, folder).select("barcode", "umi", "gx", "read_id", "aln_index")
+    return _molecules(spark, folder, ["read_id", "aln_index"]).select("barcode", "umi", "gx", "read_id", "aln_index")
 
 
 def p5_survivors(spark: SparkSession, folder: str) -> DataFrame:
-    return _molecules(spark, folder)
+    return _molecules(spark, folder, ["read_id", "aln_index", "base_a", "base_c", "base_g", "base_t", "run_day", "piece", "loaded_at"])
 
 
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
