@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from labelmill.llm.trees import merge_up
 
+#: Reservoirs that one task merges: they are far larger than other states.
+FAN_IN = 64
 #: numpy draws hypergeometric numbers only from populations below this.
 _NUMPY_LIMIT = 10**9
 
@@ -145,7 +147,7 @@ def reservoir_states(df: DataFrame, k: int, seed: int = 0, first: int = 0) -> Da
 
 def merge_reservoirs(states: DataFrame, columns: list[str], k: int, seed: int = 0) -> DataFrame:
     """The sample of k rows that states of any number of pieces give together."""
-    one = merge_up(states, "slot", [], _Union(k, seed))
+    one = merge_up(states, "slot", [], _Union(k, seed), fan_in=FAN_IN)
     return one.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
 
 

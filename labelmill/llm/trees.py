@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, functions as F
 FAN_IN = 128
 
 
-def merge_up(states: DataFrame, slot: str, groups: list[str], merge: Callable, levels: int = 2) -> DataFrame:
+def merge_up(states: DataFrame, slot: str, groups: list[str], merge: Callable, levels: int = 2, fan_in: int = FAN_IN) -> DataFrame:
     """`states` merged along a tree; `slot` numbers the partitions and is 0 at the root.
 
     merge takes an Arrow table with all rows of some states of one group and gives the rows of one
     state with the same columns.
     """
     for level in range(levels + 1):
-        parent = F.lit(0).cast("long") if level == levels else F.floor(F.col(slot) / FAN_IN)
+        parent = F.lit(0).cast("long") if level == levels else F.floor(F.col(slot) / fan_in)
         states = states.withColumn("parent", parent)
         states = states.groupBy(*groups, "parent").applyInArrow(_step(merge, slot), states.drop("parent").schema)
     return states
