@@ -13,23 +13,35 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from labelmill.functions.stats import binomial_pmf
+from labelmill.functions.stats import binomial_pmf, log_factorial
 
 
-def _dense(k: np.ndarray, n: np.ndarray, count: np.ndarray) -> np.ndarray:
-    out = np.zeros((int(k.max(initial=0)) + 1, int(n.max(initial=0)) + 1))
-    np.add.at(out, (k, n), count)
-    return out
+class _Table:
+    """Reads by conversions (rows, all up to the most) and bases (columns, only those that occur).
 
+    Columns without reads stay empty through all steps, so they need no place.
+    """
 
-def _pmf_table(shape: tuple[int, int], p: float) -> np.ndarray:
-    return binomial_pmf(np.arange(shape[0])[:, None], np.arange(shape[1])[None, :], p)
+    def __init__(self, k, n, count) -> None:
+        k, n = np.asarray(k, np.int64), np.asarray(n, np.int64)
+        self.bases, column = np.unique(n, return_inverse=True)
+        self.rows = np.arange(int(k.max(initial=0)) + 1)[:, None]
+        self.reads = np.zeros((len(self.rows), len(self.bases)))
+        np.add.at(self.reads, (k, column), np.asarray(count, float))
+        self.fits = self.rows <= self.bases
+        rest = np.where(self.fits, self.bases - self.rows, 0)
+        self.ways = log_factorial(self.bases) - log_factorial(self.rows) - log_factorial(rest)
+        self.rest = rest
 
+    def pmf(self, p: float) -> np.ndarray:
+        if p <= 0 or p >= 1:
+            return binomial_pmf(self.rows, self.bases, p)
+        return np.where(self.fits, np.exp(self.ways + self.rows * np.log(p) + self.rest * np.log1p(-p)), 0.0)
 
-def _new_rate(reads: np.ndarray) -> float | None:
-    """Conversions over bases of a table of reads."""
-    tries = float((reads * np.arange(reads.shape[1])).sum())
-    return float((reads * np.arange(reads.shape[0])[:, None]).sum()) / tries if tries > 0 else None
+    def rate(self) -> float | None:
+        """Conversions over bases."""
+        tries = float((self.reads * self.bases).sum())
+        return float((self.reads * self.rows).sum()) / tries if tries > 0 else None
 
 
 def induced_rate(k, n, count, p_e: float, p_c: float = 0.1, threshold: float = 0.01, rounds: int = 300) -> float | None:
@@ -39,16 +51,16 @@ def induced_rate(k, n, count, p_e: float, p_c: float = 0.1, threshold: float = 0
     are taken as missing and filled from the rest of their column.  None if the rate does not
     exceed the background.
     """
-    reads = _dense(np.asarray(k), np.asarray(n), np.asarray(count, float))
-    above = np.cumsum(reads[::-1], axis=0)[::-1]
-    missing = above * _pmf_table(reads.shape, p_e) > threshold * reads
-    seen = np.where(missing, 0.0, reads).sum(axis=0)
+    t = _Table(k, n, count)
+    above = np.cumsum(t.reads[::-1], axis=0)[::-1]
+    missing = above * t.pmf(p_e) > threshold * t.reads
+    seen = np.where(missing, 0.0, t.reads).sum(axis=0)
     for _ in range(rounds):
-        pmf = _pmf_table(reads.shape, p_c)
+        pmf = t.pmf(p_c)
         known = np.where(missing, 0.0, pmf).sum(axis=0)
         fill = np.divide(seen, known, out=np.zeros_like(seen), where=known > 0) * pmf
-        reads = np.where(missing & (known > 0), fill, reads)
-        before, rate = p_c, _new_rate(reads)
+        t.reads = np.where(missing & (known > 0), fill, t.reads)
+        before, rate = p_c, t.rate()
         p_c = before if rate is None else rate
         if p_c == before:
             break
@@ -58,19 +70,19 @@ def induced_rate(k, n, count, p_e: float, p_c: float = 0.1, threshold: float = 0
 def induced_rate_nasc(k, n, count, p_e: float, threshold: float = 0.01) -> float:
     """The variant of paired-end protocols: missing cells are filled from each other, one after
     the other, within an interval of the rate that shrinks."""
-    reads = _dense(np.asarray(k), np.asarray(n), np.asarray(count, float))
-    above = np.cumsum(reads[::-1], axis=0)[::-1] - reads
-    missing = above * _pmf_table(reads.shape, p_e) > threshold * reads
+    t = _Table(k, n, count)
+    above = np.cumsum(t.reads[::-1], axis=0)[::-1] - t.reads
+    missing = above * t.pmf(p_e) > threshold * t.reads
     cells = np.argwhere(missing)
     low, high, p_c = 0.0, 1.0, 0.5
     while high - low >= 1e-8:
-        pmf = _pmf_table(reads.shape, p_c)
+        pmf = t.pmf(p_c)
         known = np.where(missing, pmf, 0.0).sum(axis=0)
         for i, j in cells:
             if known[j] > 0:
-                reads[i, j] = pmf[i, j] * reads[missing[:, j], j].sum() / known[j]
+                t.reads[i, j] = pmf[i, j] * t.reads[missing[:, j], j].sum() / known[j]
         before = p_c
-        p_c = _new_rate(reads) or 0.0
+        p_c = t.rate() or 0.0
         if p_c == before:
             break
         low, high = (low, before) if p_c < before else (before, high)
@@ -134,6 +146,14 @@ def _keyed(histogram: DataFrame, keys: list[str], rates: list[tuple[DataFrame, s
     return out
 
 
+def _apart(rows: DataFrame, by: list[str]) -> DataFrame:
+    """rows in a fixed number of partitions by key: histograms are small, so partitions that are
+    merged by size would leave all the costly fits to one task."""
+    spark = rows.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(n, *by)
+
+
 def fit_induced(histogram: DataFrame, p_e: DataFrame, by: list[str], threshold: int = 1000, nasc: bool = False, p_e_by: list[str] | None = None) -> DataFrame:
     """p_c for each group of at least `threshold` reads; groups without a fit are left out."""
     p_e_by = by if p_e_by is None else p_e_by
@@ -148,7 +168,7 @@ def fit_induced(histogram: DataFrame, p_e: DataFrame, by: list[str], threshold:
         return out[out["p_c"].notna()]
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in names)
-    return rows.groupBy(*by).applyInPandas(fit, f"{fields}, p_c double")
+    return _apart(rows, by).groupBy(*by).applyInPandas(fit, f"{fields}, p_c double")
 
 
 def fit_share(histogram: DataFrame, p_e: DataFrame, p_c: DataFrame, by: list[str], rates_by: list[str], threshold: int = 16, nasc: bool = False) -> DataFrame:
@@ -162,4 +182,4 @@ def fit_share(histogram: DataFrame, p_e: DataFrame, p_c: DataFrame, by: list[str
         return pdf[names].iloc[:1].assign(alpha=a, beta=b, pi=beta_mode_of(a, b) if nasc else pi)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in names)
-    return rows.groupBy(*by).applyInPandas(fit, f"{fields}, alpha double, beta double, pi double")
+    return _apart(rows, by).groupBy(*by).applyInPandas(fit, f"{fields}, alpha double, beta double, pi double")
