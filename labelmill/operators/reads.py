@@ -11,7 +11,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from labelmill.functions.sequences import BASES, BASE_COLUMNS
 from labelmill.functions.storage import checkpointed
@@ -94,20 +94,28 @@ _OUT = ", ".join(f"{c} int" for c in BASE_COLUMNS) + ", positions array<bigint>,
 def decode_reads(records: DataFrame, *, paired: bool | None = None, nasc: bool = False, deleted: bool = True) -> DataFrame:
     """Reads (pairs as one) with base contents, covered positions and mismatches.
 
-    A pair is the two records of one read_id and one HI tag; mates without partner are dropped.
-    Of two mates the one that starts further left (then the first mate) is the earlier one.
-    `deleted`: bases of the reference that a read lacks count in its content.
+    Every unpaired record is a read, supplementary and repeated ones too.  The paired records of
+    one read_id, HI tag and contig are put in order (start, flag, then their other values) and
+    paired two by two; an odd last one has no mate and is dropped.  So n repeats of an unpaired
+    read give n reads, and a pair delivered twice gives two, of which, mates of one start being
+    neighbours in the order, each may hold one mate twice.  `part` tells reads of one read_id
+    and HI apart.  Of two mates the one that starts further left (then the first mate) is the
+    earlier one.  `deleted`: bases of the reference that a read lacks count in its content.
     """
     tag = lambda t, d: F.coalesce(F.try_element_at("tags", F.lit(t)).try_cast("int"), F.lit(d))
     mate = F.struct(F.col("start").cast("long").alias("place"), F.col("start").cast("long").alias("start"), F.col("flag").cast("int").alias("flag"), "cigar", F.coalesce(F.try_element_at("tags", F.lit("MD")), F.lit("")).alias("md"), "seq", F.col("quality").cast("array<int>").alias("quality"))
-    rows = records.withColumn("aln_index", tag("HI", 1)).withColumn("score", tag("AS", 0)).withColumn("mate_", mate)
     pair = F.col("flag").bitwiseAND(F.lit(filters.PAIRED)) != 0
-    first = lambda c: F.min_by(c, F.col("mate_")).alias(c)
-    last = lambda c, n: F.max_by(c, F.col("mate_")).alias(n)
-    # Two records for each key; a key with more is no pair and is dropped below.
-    reads = rows.withColumn("pair_", pair).groupBy("read_id", "aln_index").agg(
-        F.count(F.lit(1)).alias("n_"), F.bool_or("pair_").alias("pair_"), first("contig"), last("flag", "flag"), last("tags", "tags"), F.max("score").alias("score"), F.min("start").alias("start"), F.array_sort(F.collect_list("mate_")).cast(_MATES).alias("mates")
-    ).filter(F.when(F.col("pair_"), F.col("n_") == 2).otherwise(F.col("n_") == 1)).drop("n_", "pair_")
+    rows = records.select("read_id", tag("HI", 1).alias("aln_index"), "contig", "flag", "tags", tag("AS", 0).alias("score"), "start", pair.alias("pair_"), mate.alias("mate_"))
+    # Both windows need one order; tags are compared only between records that are else the same.
+    key = W.partitionBy("read_id", "aln_index")
+    own = key.orderBy("pair_", "contig", "mate_", F.array_sort(F.map_entries("tags")))
+    rows = rows.withColumn("part", F.row_number().over(own)).withColumn("next_", F.lead(F.struct("pair_", "contig", "flag", "tags", "score", "mate_")).over(own))
+    rows = rows.withColumn("first_", F.rank().over(key.orderBy("pair_", "contig")))
+    mated = (F.col("next_.pair_") & F.col("next_.contig").eqNullSafe(F.col("contig"))) & ((F.col("part") - F.col("first_")) % 2 == 0)
+    later = lambda c: F.when(F.col("pair_"), F.col(f"next_.{c}")).otherwise(F.col(c)).alias(c)
+    mates = F.when(F.col("pair_"), F.array("mate_", "next_.mate_")).otherwise(F.array("mate_")).cast(_MATES).alias("mates")
+    score = F.when(F.col("pair_"), F.greatest("score", "next_.score")).otherwise(F.col("score")).alias("score")
+    reads = rows.filter(~F.col("pair_") | mated).select("read_id", "aln_index", "part", "contig", later("flag"), later("tags"), score, "start", mates)
     names = reads.columns
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -128,21 +136,28 @@ def decode_reads(records: DataFrame, *, paired: bool | None = None, nasc: bool =
     return reads.mapInPandas(run, f"{fields}, {_OUT}")
 
 
+def countable(records: DataFrame, *, umi_tag: str | None = None, barcode_tag: str | None = None, gene_tag: str | None = "GX", barcodes: DataFrame | None = None, velocity: bool = True) -> DataFrame:
+    """Records that counts and coverage are made of: the same for both, so that mates pair alike."""
+    kept = filters.proper_pairs(filters.primary_alignments(records, filters.required_tags(umi_tag, barcode_tag, gene_tag, velocity)))
+    if not barcode_tag:
+        return kept
+    return filters.known_barcodes(kept.withColumn("barcode_", F.try_element_at("tags", F.lit(barcode_tag))), barcodes, "barcode_").drop("barcode_")
+
+
 def parse_reads(records: DataFrame, genes: DataFrame, transcripts: DataFrame | None, *, strand: str = "forward", umi_tag: str | None = None, barcode_tag: str | None = None, gene_tag: str | None = "GX", barcodes: DataFrame | None = None, nasc: bool = False, velocity: bool = True, strict: bool = True) -> tuple[DataFrame, DataFrame]:
     """Alignments and mismatches of mapped records.
 
     A read's gene is its gene tag; with velocity, a read without tag gets the one gene of its
     strand that holds it and of which it touches an exon or an intron, and reads with none or
-    several are dropped.  Missing barcodes and UMIs are null.
+    several are dropped.  Missing barcodes and UMIs are null.  A read is told by read_id, aln_index
+    and part (see decode_reads) in both tables.
     """
-    kept = filters.proper_pairs(filters.primary_alignments(records, filters.required_tags(umi_tag, barcode_tag, gene_tag, velocity)))
+    kept = countable(records, umi_tag=umi_tag, barcode_tag=barcode_tag, gene_tag=gene_tag, barcodes=barcodes, velocity=velocity)
     reads = decode_reads(kept, nasc=nasc)
     tag = lambda t: F.try_element_at("tags", F.lit(t)) if t else F.lit(None).cast("string")
     reads = reads.withColumn("barcode", tag(barcode_tag)).withColumn("umi", tag(umi_tag)).withColumn("gx", F.nullif(tag(gene_tag), F.lit("")))
-    if barcode_tag:
-        reads = filters.known_barcodes(reads, barcodes)
     reads = reads.withColumn("transcriptome", F.col("gx").isNotNull()).withColumn("strand", votes.read_strand(F.col("flag"), strand))
-    key = ["read_id", "aln_index"]
+    key = ["read_id", "aln_index", "part"]
     if velocity and transcripts is not None:
         placed = reads.withColumn("segments", intervals.segments_of(F.col("positions"))).withColumn("start", F.array_min("positions")).withColumn("end", F.array_max("positions") + 1)
         tagged = placed.filter("gx is not null")
@@ -157,8 +172,8 @@ def parse_reads(records: DataFrame, genes: DataFrame, transcripts: DataFrame | N
         reads = reads.filter("gx is not null").withColumn("velocity", F.lit("unassigned"))
     # Both tables come from reads that are decoded once.
     reads = checkpointed(reads.select(*key, "contig", "barcode", "umi", "gx", *BASE_COLUMNS, "velocity", "transcriptome", "score", "found"))
-    alignments = reads.select(*key, "barcode", "umi", "gx", *BASE_COLUMNS, "velocity", "transcriptome", "score")
-    found = reads.select(*key, "contig", F.explode("found").alias("f")).select(*key, "contig", "f.genome_i", "f.conversion", "f.quality")
+    alignments = reads.select("read_id", "aln_index", "barcode", "umi", "gx", *BASE_COLUMNS, "velocity", "transcriptome", "score", "part")
+    found = reads.select(*key, "contig", F.explode("found").alias("f")).select("read_id", "aln_index", "contig", "f.genome_i", "f.conversion", "f.quality", "part")
     return alignments, found
 
 

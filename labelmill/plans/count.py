@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from labelmill.functions.sequences import QUALITY, UNUSABLE_VELOCITY, with_complements
 from labelmill.operators import counting, filters, matrix, rates
-from labelmill.operators.reads import parse_reads, read_positions
+from labelmill.operators.reads import countable, parse_reads, read_positions
 
 
 @dataclass
@@ -38,7 +38,8 @@ def count_tables(alignments: DataFrame, conversions: DataFrame, genes: DataFrame
     reads are dropped.  The counts given are on the forward strand.
     """
     every = sorted({c for label in labels for c in label})
-    counted = counting.count_conversions(alignments, conversions, snps, quality)
+    key = [*counting.READ_KEY, *(c for c in ("part",) if c in alignments.columns)]
+    counted = counting.count_conversions(alignments, conversions, snps, quality, key).drop("part")
     if umis:
         stranded = counting.complement_counts(counted, genes)
         own = counting.deduplicate_counts(stranded, every, mode == "conversion")
@@ -75,7 +76,8 @@ def count(records: DataFrame, genes: DataFrame, transcripts: DataFrame | None, l
         theirs = counting.only_selected(conversions, selected)
         sites = rates.conversion_sites(theirs, every, quality)
         wanted = theirs.filter(F.col("conversion").isin(with_complements(every)))
-        coverage = rates.coverage_of(counting.only_selected(read_positions(filters.primary_alignments(records)), selected), at=wanted)
+        kept = countable(records, umi_tag=umi_tag, barcode_tag=barcode_tag, gene_tag=gene_tag, barcodes=barcodes, velocity=velocity)
+        coverage = rates.coverage_of(counting.only_selected(read_positions(kept), selected), at=wanted)
         found = rates.detect_snps(sites, coverage, snp_threshold, snp_min_coverage)
         snps = found if known_snps is None else rates.union_snps(found, known_snps)
     out = count_tables(alignments, conversions, genes, labels, umis=umi_tag is not None, mode=dedup_mode(mode, list(tags)), snps=snps, quality=quality, control=control, by_name=by_name, nasc=nasc)

@@ -7,8 +7,10 @@ import zlib
 
 import pytest
 
+from labelmill.operators import counting
 from labelmill.operators.reads import _decode, aligned_pairs, decode_reads, merge_pair, parse_reads
 from labelmill.plans.consensus import consensus
+from labelmill.plans.count import count
 from labelmill.sources import sam
 from labelmill.sources.annotation import fasta_facts, index_parameters, read_gtf
 
@@ -74,6 +76,40 @@ def test_parse_reads(spark, records, genes, transcripts):
     assert {(r["read_id"], r["genome_i"], r["conversion"]) for r in found.collect()} == {("spliced", 3, "TC"), ("pair", 5, "AG")}
 
 
+def test_repeats_and_supplementary_records_stay(spark, genes):
+    own = dict(GX="g", CB="c1")
+    paired = dict(flag=0x3 | 0x40), dict(flag=0x3 | 0x80)
+    rows = [
+        *[record("twice", 2, "2M", "CA", 30, "T1", UB="u1", **own)] * 2,
+        record("chimera", 2, "2M", "CA", 30, "T1", UB="u2", **own),
+        record("chimera", 9, "3M", "AAG", 30, "2A", flag=0x800, UB="u2", **own),
+        *[record("pair", 1, "2M", "AG", 30, "1A0", UB="u3", **paired[0], **own), record("pair", 4, "2M", "AA", 30, "2", UB="u3", **paired[1], **own)] * 2,
+        *[record("odd", p, "1M", "A", 30, "1", UB="u4", **paired[p > 1], **own) for p in (1, 2, 3)],
+        *[record("apart", 1, "1M", "A", 30, "1", contig=c, UB="u5", **paired[0], **own) for c in "12"],
+    ]
+    records = spark.createDataFrame(rows, RECORDS).repartition(3)
+    got = sorted((r["read_id"], r["positions"], [tuple(f) for f in r["found"]]) for r in decode_reads(records).collect())
+    assert got == [
+        ("chimera", [2, 3], [(2, "TC", 30)]),
+        ("chimera", [9, 10, 11], [(11, "AG", 30)]),
+        ("odd", [1, 2], []),
+        ("pair", [1, 2], [(2, "AG", 30)]),
+        ("pair", [4, 5], []),
+        ("twice", [2, 3], [(2, "TC", 30)]),
+        ("twice", [2, 3], [(2, "TC", 30)]),
+    ]
+    # Counts of one record do not leak into another of its key, and coverage has every read.
+    out = count(records, genes, None, [["TC"]], barcode_tag="CB", velocity=False, snp_threshold=0.9, quality=27)
+    alignments = out.alignments.collect()
+    assert sorted(r["read_id"] for r in alignments) == ["chimera"] * 2 + ["odd"] + ["pair"] * 2 + ["twice"] * 2
+    key = ["read_id", "aln_index", "part"]
+    each = counting.count_conversions(out.alignments, out.conversions, key=key).collect()
+    assert sorted((r["read_id"], r["n_tc"], r["n_ag"]) for r in each if r["read_id"] in ("chimera", "twice")) == [("chimera", 0, 1), ("chimera", 1, 0), ("twice", 1, 0), ("twice", 1, 0)]
+    kept = {r["read_id"]: (r["n_tc"], r["n_ag"]) for r in out.counts.collect()}
+    assert kept == {"chimera": (1, 0), "odd": (0, 0), "pair": (0, 1), "twice": (1, 0)}
+    assert {(r["genome_i"], r["coverage"]) for r in out.coverage.collect()} == {(2, 5), (11, 1)}
+
+
 def test_decode_of_no_records(spark, records):
     assert decode_reads(records.filter("false")).count() == 0
 
