@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from labelmill.functions.storage import table
-from labelmill.operators import counting, estimators, rates, simulate
+from labelmill.operators import counting, estimators, filters, rates, simulate
 from labelmill.plans.estimate import estimate
 from labelmill.sources.technology import technologies
 
 SQL: dict[str, str] = {}
 LABELS = [["TC"]]
+#: Reads that a share is fitted on, at least.
+LEAST = 16
 
 
 def _counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,18 +35,40 @@ def p_c_em_nasc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pi_quadrature(spark: SparkSession, folder: str) -> DataFrame:
-    """Share of new RNA per cell and gene, with one rate for all cells of a day's group."""
+    """Share of new RNA of every cell and gene of LEAST or more reads, with the rates of its cell.
+
+    Rates are fitted for every cell that has such a gene, however few its other reads are.
+    """
+    counts = _counts(spark, folder)
+    hist = rates.aggregate_counts(counts, ["TC"])
+    p_e = rates.background(counts, LABELS, ["barcode"]).filter("p_e is not null")
+    cells = filters.at_least(hist, ["barcode", "gx"], "count", LEAST).select("barcode")
+    p_c = estimators.fit_induced(hist.join(cells, "barcode", "left_semi"), p_e, ["barcode"], LEAST)
+    return estimators.fit_share(hist, p_e, p_c, ["barcode", "gx"], ["barcode"], LEAST)
+
+
+def pi_pooled(spark: SparkSession, folder: str) -> DataFrame:
+    """Share of new RNA per gene and group of cells, pooled by the first letter of the barcode."""
     counts = _counts(spark, folder).withColumn("group", F.substring("barcode", 1, 1))
     hist = rates.aggregate_counts(counts, ["TC"], ["barcode", "gx", "group"])
     p_e = rates.background(counts, LABELS, ["group"])
     p_c = estimators.fit_induced(hist, p_e, ["group"], 1000)
-    return estimators.fit_share(hist, p_e, p_c, ["group", "gx"], ["group"], 16)
+    return estimators.fit_share(hist, p_e, p_c, ["group", "gx"], ["group"], LEAST)
 
 
-def estimated_layers(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole of `estimate` with the detection rate, from counts to corrected layers."""
+def _estimated(spark: SparkSession, folder: str, method: str) -> DataFrame:
     known = table(spark, folder, "counts_tc").filter("barcode is not null and gx is not null and barcode not in ('NA', '-')")
-    return estimate([known], table(spark, folder, "genes"), LABELS, reads=["total"], cell_threshold=50).layers
+    return estimate([known], table(spark, folder, "genes"), LABELS, cell_threshold=50, method=method).layers
+
+
+def estimated_layers(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole of `estimate` with the detection rate, from counts to corrected layers of all read groups."""
+    return _estimated(spark, folder, "alpha")
+
+
+def estimated_layers_pi_g(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the share of every cell and gene."""
+    return _estimated(spark, folder, "pi_g")
 
 
 def simulate_reads(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,6 +83,6 @@ def technology_table(spark: SparkSession, folder: str) -> DataFrame:
     return technologies(spark)
 
 
-QUERIES = {f.__name__: f for f in (p_c_em, p_c_em_nasc, pi_quadrature, estimated_layers, simulate_reads, simulated_recovery, technology_table)}
+QUERIES = {f.__name__: f for f in (p_c_em, p_c_em_nasc, pi_quadrature, pi_pooled, estimated_layers, estimated_layers_pi_g, simulate_reads, simulated_recovery, technology_table)}
 SQL["technology_table"] = """SELECT * FROM (VALUES ('dropseq', 0, 12, 12, 8, 'forward'), ('scifate', 0, 18, 8, 8, 'forward'), ('10xv2', 0, 16, 16, 10, 'forward'), ('10xv3', 0, 16, 16, 12, 'forward'),
     ('smartseq', NULL, NULL, NULL, NULL, 'unstranded')) t(name, barcode_start, barcode_length, umi_start, umi_length, strand)"""

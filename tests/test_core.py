@@ -225,6 +225,24 @@ def test_fits_by_group(spark):
     assert pi["a"] == pytest.approx(0.2, abs=0.05) and pi["b"] == pytest.approx(0.7, abs=0.05)
 
 
+def test_queries_fit_every_cell_and_gene_and_all_read_groups(spark, tmp_path):
+    from labelmill.plans import estimator_queries as queries
+
+    rows = []
+    for seed, (cell, gene, pi) in enumerate([("AA", "g", 0.2), ("AA", "h", 0.8), ("AC", "g", 0.7)]):
+        for k, n, count in zip(*simulated(0.002, 0.2, pi, 1500, seed=seed)):
+            rows += [count_row("r", cell, gx=gene, velocity=("spliced", "unspliced")[i % 2], transcriptome=i % 3 > 0, bases=int(n), tc=int(k), ca=int(i % 20 == 0)) for i in range(int(count))]
+    rows += [count_row("r", "AG", gx="g", bases=30, tc=6 if i < 8 else 0) for i in range(16)]  # as few as are fitted
+    counts(spark, rows).write.parquet(f"{tmp_path}/counts_tc.parquet")
+    spark.createDataFrame([("g", "+", "G"), ("h", "+", "H")], "gx string, strand string, gene_name string").write.parquet(f"{tmp_path}/genes.parquet")
+    got = {(r["barcode"], r["gx"]): r["pi"] for r in queries.pi_quadrature(spark, str(tmp_path)).collect()}
+    assert set(got) == {("AA", "g"), ("AA", "h"), ("AC", "g"), ("AG", "g")}
+    assert got["AA", "g"] == pytest.approx(0.2, abs=0.06) and got["AA", "h"] == pytest.approx(0.8, abs=0.06) and got["AC", "g"] == pytest.approx(0.7, abs=0.06)
+    for layers in (queries.estimated_layers, queries.estimated_layers_pi_g):
+        names = {r["layer"] for r in layers(spark, str(tmp_path)).select("layer").distinct().collect()}
+        assert {n for n in names if n.endswith("_est")} == {f"{n}TC_est" for pair in matrix.LABEL_LAYERS.values() for n in pair}
+
+
 def test_background_skips_rates_without_bases(spark):
     row = list(count_row("a", ac=1))
     row[COUNTS.split(", ").index("base_g int")] = 0
