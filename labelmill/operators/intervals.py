@@ -29,9 +29,9 @@ def containing_genes(reads: DataFrame, genes: DataFrame, *, by_strand: bool = Tr
 
 
 def unique_gene(reads: DataFrame, genes: DataFrame, key: list[str], *, by_strand: bool = True, width: int = BIN) -> DataFrame:
-    """Key and gene of the reads that exactly one gene holds."""
+    """Key and gene of the reads that exactly one gene holds; repeated reads and genes count once."""
     found = containing_genes(reads.select(*key, "contig", "start", "end", "strand"), genes, by_strand=by_strand, width=width)
-    return found.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("gene").alias("gene")).filter("n = 1").drop("n")
+    return found.groupBy(*key).agg(F.min("gene").alias("gene"), F.max("gene").alias("last_")).filter("gene = last_").drop("last_")
 
 
 def overlaps(segments: Column, others: Column) -> Column:

@@ -117,6 +117,12 @@ def test_containing_genes_against_brute_force(spark):
     assert sorted((r["read_id"], r["gene"]) for r in found.collect()) == want
 
 
+def test_repeated_reads_and_genes_are_one_gene(spark):
+    genes = spark.createDataFrame([("g", "1", "+", 0, 50), ("g", "1", "+", 0, 50), ("h", "1", "+", 40, 90)], "gx string, contig string, strand string, seg_start long, seg_end long")
+    reads = spark.createDataFrame([("twice", "1", 5, 9, "+"), ("twice", "1", 5, 9, "+"), ("both", "1", 42, 45, "+"), ("none", "1", 95, 99, "+")], "read_id string, contig string, start long, end long, strand string")
+    assert [tuple(r) for r in intervals.unique_gene(reads, genes, ["read_id"]).collect()] == [("twice", "g")]
+
+
 @pytest.mark.parametrize("exonic,intronic,strict,lenient", [(True, False, "spliced", "spliced"), (True, True, "ambiguous", "spliced"), (False, True, "unspliced", "unspliced"), (False, False, "ambiguous", "ambiguous")])
 def test_velocity_table(spark, exonic, intronic, strict, lenient):
     row = spark.range(1).select(intervals.velocity_class(F.lit(exonic), F.lit(intronic), True), intervals.velocity_class(F.lit(exonic), F.lit(intronic), False)).collect()[0]

@@ -131,6 +131,12 @@ def test_consensus_of_the_worked_example(spark, genes):
     assert out["2M"]["read_id"] == "alone" and out["2M"]["tags"]["GN"] == "Name"
 
 
+def test_a_repeated_record_keeps_its_gene_in_the_consensus(spark, genes):
+    rows = [*[record("twice", 1, "4M", "ACTG", 30, "4", CB="c", UB="u")] * 2, record("other", 3, "2M", "TG", 30, "2", CB="c", UB="u")]
+    out = consensus(spark.createDataFrame(rows, RECORDS), genes, umi_tag="UB", barcode_tag="CB").collect()
+    assert len({r["tags"]["GX"] for r in out}) == 1 and [r["tags"]["RN"] for r in out] == ["3"]
+
+
 def bam_bytes(rows, names=("1",), header="@PG\tID:a\tPN:STAR\tCL:STAR --soloStrand Reverse\n"):
     """A BAM file of one data block and the empty last block."""
 
