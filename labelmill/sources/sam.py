@@ -241,26 +241,20 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return read_bam(spark, path) if path.endswith(".bam") else read_sam(spark, path)
 
 
-#: Records that a question about a file looks at.
-PEEK = 500_000
-
-
-def tag_names(records: DataFrame, n: int = PEEK) -> list[str]:
-    """Names of the tags in the first n records, sorted."""
-    rows = records.limit(n).select(F.explode(F.map_keys("tags")).alias("t")).distinct().collect()
+def tag_names(records: DataFrame) -> list[str]:
+    """Names of the tags in all records, sorted."""
+    rows = records.select(F.explode(F.map_keys("tags")).alias("t")).distinct().collect()
     return sorted(r["t"] for r in rows)
 
 
-def missing_tags(records: DataFrame, tags: list[str], n: int = PEEK) -> list[str]:
-    return sorted(set(tags) - set(tag_names(records, n)))
+def missing_tags(records: DataFrame, tags: list[str]) -> list[str]:
+    return sorted(set(tags) - set(tag_names(records)))
 
 
-def file_facts(records: DataFrame, n: int = PEEK) -> dict[str, bool]:
-    """Whether there are paired, secondary and duplicate records among the first n, and unmapped
-    ones anywhere."""
+def file_facts(records: DataFrame) -> dict[str, bool]:
+    """Whether there are paired, secondary, duplicate and unmapped records anywhere."""
     bit = lambda b: F.coalesce(F.bool_or(F.col("flag").bitwiseAND(F.lit(b)) != 0), F.lit(False))
-    first = records.limit(n).agg(bit(0x1).alias("paired"), bit(0x100).alias("secondary"), bit(0x400).alias("duplicate")).collect()[0].asDict()
-    return first | {"unmapped": records.agg(bit(0x4).alias("u")).collect()[0]["u"]}
+    return records.agg(bit(0x1).alias("paired"), bit(0x100).alias("secondary"), bit(0x400).alias("duplicate"), bit(0x4).alias("unmapped")).collect()[0].asDict()
 
 
 def sorted_records(records: DataFrame) -> DataFrame:

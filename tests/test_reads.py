@@ -6,6 +6,7 @@ import struct
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from labelmill.operators import counting
 from labelmill.operators.reads import _decode, aligned_pairs, decode_reads, merge_pair, parse_reads
@@ -174,6 +175,13 @@ def test_bam_and_sam(spark, tmp_path):
     assert [tuple(r) for r in again] == [tuple(r) for r in rows]
 
 
+def test_tags_and_flags_of_the_last_record_are_seen(spark):
+    last = F.col("id") == 500_000
+    records = spark.range(0, 500_001, 1, 1).select(F.when(last, 0x501).otherwise(0).alias("flag"), F.when(last, F.create_map(F.lit("RN"), F.lit("2"))).otherwise(F.create_map(F.lit("GX"), F.lit("g"))).alias("tags"))
+    assert sam.tag_names(records) == ["GX", "RN"] and sam.missing_tags(records, ["RN", "CB"]) == ["CB"]
+    assert sam.file_facts(records) == {"paired": True, "secondary": True, "duplicate": True, "unmapped": False}
+
+
 def test_gtf_without_gene_lines_and_odd_separators(spark, tmp_path):
     path = tmp_path / "a.gtf"
     path.write_text('# c\n1\ts\texon\t21\t30\t.\t-\t.\tgene_id "B"; transcript_id "t"; ;gene_name "N"\n1\ts\texon\t1\t10\t.\t-\t.\tgene_id "B", transcript_id "t"\n2\ts\tgene\t5\t9\t.\t+\t.\tgene_id "A";\n')
