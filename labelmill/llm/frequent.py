@@ -83,7 +83,7 @@ class _Add:
     def __init__(self, k: int, names: list[str]) -> None:
         self.k, self.names = k, names
 
-    def __call__(self, rows: pa.Table) -> pa.Table:
+    def __call__(self, rows: pa.Table, level: int = 0, parent: int = 0) -> pa.Table:
         heads, body = rows.filter(rows["head"]), rows.filter(pc.invert(rows["head"]))
         body = body.group_by(self.names).aggregate([("cnt", "sum")])
         counts, d = cut_to(body["cnt_sum"].to_numpy(), self.k)

@@ -55,7 +55,7 @@ class Sketch:
         self.full[level] = buffer
 
     def merge(self, n: int, error: int, levels: np.ndarray, buffers: list[np.ndarray]) -> None:
-        """Take in another sketch; level -1 is its values that fill no buffer."""
+        """Take in another sketch of n values; level -1 is its values that fill no buffer."""
         self.error += error
         for level, buffer in zip(levels, buffers):
             if level < 0:
@@ -85,9 +85,17 @@ def weighted_quantile(levels, buffers, q: float) -> float | None:
 _STATE = T.StructType([T.StructField("slot", T.LongType()), T.StructField("field_name", T.StringType()), T.StructField("group_value", T.StringType()), T.StructField("n", T.LongType()), T.StructField("error", T.LongType()), T.StructField("levels", T.ArrayType(T.IntegerType())), T.StructField("buffers", T.ArrayType(T.ArrayType(T.DoubleType())))])
 
 
-def _state(slot: int, field: str, group: str, sketch: Sketch) -> tuple:
-    levels, buffers = sketch.rows()
-    return slot, field, group, sketch.n, sketch.error, levels, [b.tolist() for b in buffers]
+def _states(slot: int, held: list[tuple[str, str, Sketch]]) -> pa.RecordBatch:
+    """Sketches of some groups as rows."""
+    levels, buffers = zip(*(s.rows() for _, _, s in held))
+    ends = lambda parts: pa.array(np.cumsum([0, *map(len, parts)]), pa.int32())
+    flat = [b for parts in buffers for b in parts]
+    inner = pa.ListArray.from_arrays(ends(flat), pa.array(np.concatenate([np.empty(0), *flat])))
+    columns = [
+        pa.array(np.full(len(held), slot)), pa.array([f for f, _, _ in held], pa.string()), pa.array([g for _, g, _ in held], pa.string()), pa.array([s.n for _, _, s in held], pa.int64()),
+        pa.array([s.error for _, _, s in held], pa.int64()), pa.array(levels, pa.list_(pa.int32())), pa.ListArray.from_arrays(ends(buffers), inner),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=_STATE.names)
 
 
 class _Collect:
@@ -97,45 +105,39 @@ class _Collect:
     the partition times a few buffers, and never more than the partition's values.
     """
 
-    def __init__(self, k: int) -> None:
-        self.k = k
+    def __init__(self, k: int, field: str) -> None:
+        self.k, self.field = k, field
 
-    def __call__(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple[str, str], Sketch] = {}
-        for pdf in frames:
-            codes, keys = pdf.groupby(["field_name", "group_value"], sort=False).ngroup().to_numpy(), pdf.drop_duplicates(["field_name", "group_value"])[["field_name", "group_value"]].to_numpy()
-            order = np.argsort(codes, kind="stable")
-            values = pdf["value"].to_numpy(float)[order]
-            ends = np.cumsum(np.bincount(codes, minlength=len(keys)))
-            for (f, g), part in zip(keys, np.split(values, ends[:-1])):
-                held.setdefault((f, g), Sketch(self.k)).add(part)
-        number = TaskContext.get().partitionId()
-        out = []
-        for (f, g), sketch in held.items():
-            out.append(_state(number, f, g, sketch))
-            if len(out) == 64:
-                yield pd.DataFrame(out, columns=_STATE.names)
-                out = []
-        if out:
-            yield pd.DataFrame(out, columns=_STATE.names)
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Sketch] = {}
+        for batch in batches:
+            groups = batch.column(0).dictionary_encode()
+            codes, keys = groups.indices.to_numpy(), groups.dictionary.to_pylist()
+            values = batch.column(1).to_numpy()[np.argsort(codes, kind="stable")]
+            for g, part in zip(keys, np.split(values, np.cumsum(np.bincount(codes, minlength=len(keys)))[:-1])):
+                held.setdefault(g, Sketch(self.k)).add(part)
+        number, rest = TaskContext.get().partitionId(), list(held.items())
+        for at in range(0, len(rest), 64):
+            yield _states(number, [(self.field, g, s) for g, s in rest[at : at + 64]])
 
 
 class _Combine:
     def __init__(self, k: int) -> None:
         self.k = k
 
-    def __call__(self, rows: pa.Table) -> pa.Table:
+    def __call__(self, rows: pa.Table, level: int = 0, parent: int = 0) -> pa.Table:
+        rows = rows.sort_by("slot")
         sketch = Sketch(self.k)
-        for row in rows.sort_by("slot").to_pylist():
-            sketch.merge(row["n"], row["error"], row["levels"], row["buffers"])
-        state = _state(0, rows["field_name"][0].as_py(), rows["group_value"][0].as_py(), sketch)
-        return pa.table([pa.array([x], kind) for x, kind in zip(state, rows.schema.types)], schema=rows.schema)
+        for n, error, levels, buffers in zip(rows["n"].to_pylist(), rows["error"].to_pylist(), rows["levels"], rows["buffers"]):
+            ends, values = buffers.values.offsets.to_numpy(), buffers.values.values.to_numpy()
+            sketch.merge(n, error, levels.values.to_numpy(), [values[a:b] for a, b in zip(ends, ends[1:])])
+        return pa.Table.from_batches([_states(0, [(rows["field_name"][0].as_py(), rows["group_value"][0].as_py(), sketch)])]).cast(rows.schema)
 
 
 def sketches(df: DataFrame, field: str, group: Column, value: Column, k: int = BUFFER) -> DataFrame:
     """A sketch for each partition and group of the values; null groups and values, and NaN, hold nothing."""
-    own = df.select(F.lit(field).alias("field_name"), group.cast("string").alias("group_value"), value.cast("double").alias("value"))
-    return own.filter("group_value is not null and value is not null and not isnan(value)").mapInPandas(_Collect(k), _STATE)
+    own = df.select(group.cast("string").alias("group_value"), value.cast("double").alias("value"))
+    return own.filter("group_value is not null and value is not null and not isnan(value)").mapInArrow(_Collect(k, field), _STATE)
 
 
 def combine(states: DataFrame, k: int = BUFFER) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from labelmill.functions.storage import checkpointed, table
+from labelmill.functions.storage import table
 from labelmill.llm.frequent import frequent_values
 from labelmill.llm.mojibake import repair_texts
 from labelmill.llm.packing import MAX_BUDGETS, pack, usage
 from labelmill.llm.quantiles import combine, percentiles, sketches
-from labelmill.llm.reservoir import fixed_size_sample
+from labelmill.llm.reservoir import fixed_size_sample, population, reservoir_states
 from labelmill.llm.survivors import best_representatives
 from labelmill.llm.transducer import check_round_trip, count_tokens, encode_texts
 
@@ -20,9 +20,25 @@ SITE_SHARE = 0.002
 SITE_COUNTERS = 4000
 
 
+P1_COLUMNS = ["read_id", "piece", "barcode", "umi", "gx"]
+
+
 def p1_sample(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "counts_tc").select("read_id", "piece", "barcode", "umi", "gx")
-    return fixed_size_sample(rows, SAMPLE_SIZE, seed=20)
+    return fixed_size_sample(table(spark, folder, "counts_tc").select(*P1_COLUMNS), SAMPLE_SIZE, seed=20)
+
+
+def p1_size(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows counted while sampling, rows of the sample, and how many of these the table does not
+    hold as often as the sample does."""
+    rows = table(spark, folder, "counts_tc").select(*P1_COLUMNS)
+    counted = population(reservoir_states(rows, SAMPLE_SIZE, seed=20))
+    times = lambda df, name: df.groupBy(*P1_COLUMNS).agg(F.count(F.lit(1)).alias(name))
+    drawn = times(fixed_size_sample(rows, SAMPLE_SIZE, seed=20), "drawn")
+    # The sample is of fixed size, so only that many rows of the table are counted by value.
+    known = times(rows.join(F.broadcast(drawn.select("read_id").distinct()), "read_id", "left_semi"), "there")
+    same = [drawn[c].eqNullSafe(known[c]) for c in P1_COLUMNS]
+    odd = drawn.join(known, same, "left").agg(F.sum("drawn").alias("n_sampled"), F.count_if(F.coalesce(F.col("there"), F.lit(0)) < F.col("drawn")).alias("n_strange"))
+    return counted.crossJoin(odd)  # one row each
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,9 +55,25 @@ def p2_frequent_sites(spark: SparkSession, folder: str) -> DataFrame:
     return frequent_values(table(spark, folder, "conversions"), SITE, SITE_COUNTERS)
 
 
+def p2_within_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """Every site of more rows than the counters leave room for: its exact number of rows, and
+    whether it has a counter and both bounds hold."""
+    rows = table(spark, folder, "conversions").select(*SITE)
+    total = rows.agg(F.count(F.lit(1)).alias("all_rows"))
+    exact = rows.dropna().groupBy(*SITE).agg(F.count(F.lit(1)).alias("n_rows"))
+    heavy = exact.join(F.broadcast(total), F.col("n_rows") * (SITE_COUNTERS + 1) > F.col("all_rows")).select(*SITE, "n_rows")  # one row
+    bounds = frequent_values(rows, SITE, SITE_COUNTERS).drop("all_rows")
+    held = F.coalesce(F.col("n_rows").between(F.col("rows_at_least"), F.col("rows_at_most")), F.lit(False))
+    return heavy.join(bounds, SITE, "left").select(*SITE, "n_rows", held.alias("within"))
+
+
+#: table, value, group.
+P4_FIELDS = (("conversions", "quality", "contig"), ("coverage", "coverage", "contig"), ("alignments", "score", "run_day"))
+P4_QS = [0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
+
+
 def _states(spark: SparkSession, folder: str) -> DataFrame:
-    parts = (("conversions", "quality", "contig"), ("coverage", "coverage", "contig"), ("alignments", "score", "run_day"))
-    first, *rest = [sketches(table(spark, folder, t), v, F.col(g), F.col(v)) for t, v, g in parts]
+    first, *rest = [sketches(table(spark, folder, t), v, F.col(g), F.col(v)) for t, v, g in P4_FIELDS]
     for other in rest:
         first = first.unionByName(other)
     return combine(first)
@@ -52,33 +84,33 @@ P4_CASES = (("quality", 0.5, 27.0, True), ("coverage", 0.9, 50.0, False), ("scor
 
 
 def p4_percentiles(spark: SparkSession, folder: str) -> DataFrame:
-    return percentiles(_states(spark, folder), [0.1, 0.25, 0.5, 0.75, 0.9, 0.99])
+    return percentiles(_states(spark, folder), P4_QS)
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Groups on the wanted side of their bound.
-
-    The error bound of a sketch settles nearly all groups.  Of a group that it leaves open, the
-    rows on either side of the bound are counted, which needs no percentile.
-    """
-    read = checkpointed(percentiles(_states(spark, folder), sorted({q for _, q, _, _ in P4_CASES})))
-    wanted, unsure = F.lit(False), F.lit(False)
+    """Groups whose percentile, read from the combined sketches, is on the wanted side of its bound."""
+    wanted = F.lit(False)
     for field, q, bound, below in P4_CASES:
-        here = (F.col("field_name") == field) & (F.col("q") == q)
-        settled = (F.col("value_low") >= bound) == (F.col("value_high") >= bound)
-        wanted = wanted | (here & settled & ((F.col("value") < bound) if below else (F.col("value") >= bound)))
-        unsure = unsure | (here & ~settled)
-    found = read.filter(wanted).select("field_name", "group_value")
-    open_groups = read.filter(unsure).select("field_name", "group_value", "q")
-    if open_groups.isEmpty():
-        return found
-    for (field, q, bound, below), (name, group) in zip(P4_CASES, (("conversions", "contig"), ("coverage", "contig"), ("alignments", "run_day"))):
-        rows = table(spark, folder, name).select(F.col(group).cast("string").alias("group_value"), F.col(field).alias("value")).filter("value is not null")
-        ours = rows.join(open_groups.filter(F.col("field_name") == field).select("group_value"), "group_value", "left_semi")
-        sides = ours.groupBy("group_value").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") < bound).alias("under"))
-        low = F.col("under") > q * (F.col("n") - 1)
-        found = found.union(sides.filter(low if below else ~low).select(F.lit(field).alias("field_name"), "group_value"))
-    return found
+        wanted = wanted | ((F.col("field_name") == field) & (F.col("q") == q) & ((F.col("value") < bound) if below else (F.col("value") >= bound)))
+    read = percentiles(_states(spark, folder), sorted({q for _, q, _, _ in P4_CASES}))
+    return read.filter(wanted).select("field_name", "group_value")
+
+
+def p4_within_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """For every group and percentile the exact number of values, and whether the rank wanted lies
+    between the ranks of value_low and value_high.  Rows are counted by value before they meet the
+    bounds."""
+    out = None
+    for name, value, group in P4_FIELDS:
+        rows = table(spark, folder, name)
+        read = percentiles(combine(sketches(rows, value, F.col(group), F.col(value))), P4_QS)
+        counted = rows.groupBy(F.col(group).cast("string").alias("group_value"), F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c")).dropna()
+        total = lambda c, n: F.sum(F.when(c, F.col("c")).otherwise(0)).alias(n)
+        sides = read.join(counted, "group_value").groupBy("field_name", "group_value", "q", "n_values").agg(F.sum("c").alias("n"), total(F.col("v") < F.col("value_low"), "under"), total(F.col("v") <= F.col("value_high"), "upto"))
+        rank = F.col("q") * F.col("n")
+        part = sides.select("field_name", "group_value", "q", F.col("n").alias("n_values"), ((F.col("n") == F.col("n_values")) & (F.col("under") <= rank) & (F.col("upto") >= rank)).alias("within"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _clean(name: str, suffix: bool = False) -> Column:
@@ -140,10 +172,13 @@ def p8_restored(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "p1_sample": p1_sample,
+    "p1_size": p1_size,
     "p2_found": p2_found,
     "p2_frequent_sites": p2_frequent_sites,
+    "p2_within_bounds": p2_within_bounds,
     "p4_found": p4_found,
     "p4_percentiles": p4_percentiles,
+    "p4_within_bounds": p4_within_bounds,
     "p5_found": p5_found,
     "p5_survivors": p5_survivors,
     "p6_ids": p6_ids,
@@ -156,6 +191,13 @@ QUERIES = {
 
 _BARCODE = "regexp_replace(upper(trim(barcode)), '-[0-9]+$', '')"
 SQL = {
+    "p1_size": f"SELECT count(*) AS n_rows, least(count(*), {SAMPLE_SIZE}) AS n_sampled, CAST(0 AS BIGINT) AS n_strange FROM counts_tc",
+    "p2_within_bounds": f"""SELECT contig, genome_i, conversion, count(*) AS n_rows, true AS within FROM conversions WHERE contig IS NOT NULL AND genome_i IS NOT NULL AND conversion IS NOT NULL
+        GROUP BY ALL HAVING count(*) * {SITE_COUNTERS + 1} > (SELECT count(*) FROM conversions)""",
+    "p4_within_bounds": " UNION ALL ".join(
+        f"SELECT '{v}' AS field_name, CAST({g} AS VARCHAR) AS group_value, CAST({q} AS DOUBLE) AS q, count(*) AS n_values, true AS within FROM {t} WHERE {g} IS NOT NULL AND {v} IS NOT NULL GROUP BY {g}"
+        for t, v, g in P4_FIELDS for q in P4_QS
+    ),
     "p2_found": """SELECT contig, genome_i, conversion FROM conversions WHERE contig IS NOT NULL AND genome_i IS NOT NULL AND conversion IS NOT NULL
         GROUP BY ALL HAVING count(*) >= 0.002 * (SELECT count(*) FROM conversions)""",
     "p4_found": """SELECT 'quality' AS field_name, contig AS group_value FROM conversions WHERE contig IS NOT NULL AND quality IS NOT NULL GROUP BY contig HAVING quantile_cont(quality, 0.5) < 27

@@ -75,8 +75,9 @@ def _large_hypergeometric(good: int, bad: int, k: int, rng: np.random.Generator)
     return sum(x < good for x in seen)
 
 
-def _seed(*parts: int) -> np.random.Generator:
-    return np.random.default_rng(np.random.SeedSequence([p & 0xFFFFFFFF for p in parts]))
+def _rng(seed: int, level: int, number: int) -> np.random.Generator:
+    """The random numbers of one reservoir (level 0) or one merge: no two of them share a stream."""
+    return np.random.default_rng(np.random.SeedSequence([seed & 0xFFFFFFFF, level, number & 0xFFFFFFFF, number >> 32]))
 
 
 class _Fill:
@@ -87,7 +88,7 @@ class _Fill:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() + self.first
-        rng = _seed(self.seed, number)
+        rng = _rng(self.seed, 0, number)
         skipper = Skipper(self.k, rng)
         held: dict[int, int] = {}  # slot -> row of `rows`
         rows: list[pa.RecordBatch] = []
@@ -115,13 +116,13 @@ class _Union:
     def __init__(self, k: int, seed: int) -> None:
         self.k, self.seed = k, seed
 
-    def __call__(self, rows: pa.Table) -> pa.Table:
+    def __call__(self, rows: pa.Table, level: int, parent: int) -> pa.Table:
         src, pop, rank = (rows[c].to_numpy() for c in ("src", "pop", "rank"))
         names, first, where = np.unique(src, return_index=True, return_inverse=True)
         if len(names) == 1:
             return rows
         sizes = [int(p) for p in pop[first]]
-        rng = _seed(self.seed, 1 + int(names[0]), len(names))
+        rng = _rng(self.seed, 1 + level, parent)
         draws = np.array(split_draws(sizes, self.k, rng))
         kept = np.flatnonzero(rank < draws[where])
         kept = kept[np.lexsort((rank[kept], src[kept]))][rng.permutation(len(kept))]
@@ -145,12 +146,18 @@ def reservoir_states(df: DataFrame, k: int, seed: int = 0, first: int = 0) -> Da
     return own.mapInArrow(_Fill(k, seed, first), T.StructType([*head, *own.schema.fields]))
 
 
-def merge_reservoirs(states: DataFrame, columns: list[str], k: int, seed: int = 0) -> DataFrame:
-    """The sample of k rows that states of any number of pieces give together."""
-    one = merge_up(states, "slot", [], _Union(k, seed), fan_in=FAN_IN)
+def merge_reservoirs(states: DataFrame, columns: list[str], k: int, seed: int = 0, fan_in: int = FAN_IN) -> DataFrame:
+    """The sample of k rows that states of any number of pieces give together; a task merges
+    `fan_in` reservoirs, and one more for each piece at most."""
+    one = merge_up(states, "slot", [], _Union(k, seed), fan_in)
     return one.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
 
 
+def population(states: DataFrame) -> DataFrame:
+    """The number of all rows (n_rows) that the states stand for, as counted on the way."""
+    return states.filter("rank = 0").agg(F.coalesce(F.sum("pop"), F.lit(0)).alias("n_rows"))
+
+
 def fixed_size_sample(df: DataFrame, k: int, seed: int = 0) -> DataFrame:
     """k rows of df, every row (copies and rows full of nulls too) equally likely; all rows if df
     has no more than k, none if it is empty.  The same files and seed give the same sample."""

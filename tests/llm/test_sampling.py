@@ -6,10 +6,11 @@ import collections
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from labelmill.llm import frequent, packing, quantiles, reservoir
+from labelmill.llm import frequent, packing, quantiles, reservoir, trees
 
 
 # ---- problem 1
@@ -40,6 +41,50 @@ def test_samples_over_partitions_are_uniform(spark):
     assert sum(hits.values()) == 1200 and len(hits) > 350 and max(hits.values()) < 12
 
 
+def test_sources_are_equally_likely_over_several_levels():
+    """Chi-square over 16 sources whose reservoirs are merged in two levels of four."""
+    k, sources, rounds = 10, 16, 1500
+    assert trees.parents(sources, 4) == [4, 1]
+    hits = np.zeros(sources)
+    for seed in range(rounds):
+        states = []
+        for i in range(sources):
+            rank = np.arange(k)
+            states.append(pa.table({"slot": np.full(k, i), "src": np.full(k, i), "pop": np.full(k, 40), "rank": rank, "c0": np.full(k, i)}))
+        union = reservoir._Union(k, seed)
+        for level, n in enumerate(trees.parents(sources, 4)):
+            states = [union(pa.concat_tables(states[p::n]), level, p) for p in range(n)]
+        assert states[0]["pop"][0].as_py() == 40 * sources
+        hits += np.bincount(states[0]["c0"].to_numpy(), minlength=sources)
+    each = k * rounds / sources
+    # Draws without replacement vary a little less than this; 15 degrees of freedom, 37.7 is the 0.1 % point.
+    assert hits.sum() == k * rounds and ((hits - each) ** 2 / each).sum() < 37.7
+
+
+def test_streams_of_random_numbers_are_all_different():
+    firsts = {reservoir._rng(5, level, number).random() for level in range(4) for number in range(200)}
+    assert len(firsts) == 800
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 64, 65, 4097, 300_000])
+def test_no_task_merges_more_than_its_share(partitions):
+    below = partitions
+    for n in trees.parents(partitions, 64):
+        assert -(-below // n) <= 64
+        below = n
+    assert below == 1
+
+
+def test_sample_through_two_levels(spark):
+    df = spark.range(300).repartition(9)
+    hits = collections.Counter()
+    for seed in range(10):
+        states = reservoir.reservoir_states(df, 30, seed)
+        hits.update(r["id"] for r in reservoir.merge_reservoirs(states, ["id"], 30, seed, fan_in=3).collect())
+        assert seed or reservoir.population(states).collect()[0]["n_rows"] == 300
+    assert sum(hits.values()) == 300 and max(hits.values()) <= 7
+
+
 def test_small_empty_and_odd_tables(spark):
     df = spark.createDataFrame([(None, 1, "a"), (None, 1, "a"), ("x", None, None)], "slot string, rank int, pop string")
     assert sorted(map(repr, reservoir.fixed_size_sample(df, 10).collect())) == sorted(map(repr, df.collect()))
