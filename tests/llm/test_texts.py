@@ -28,12 +28,12 @@ PATH = transducer.default_path()
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.one_of(st.text(max_size=60), st.text("ab \n't1é中🙈", max_size=80)))
+@given(st.one_of(st.text(max_size=60), st.text("ab \n\r\x1c\x85\u00a0\u3000-'t1é中🙈", max_size=80)))
 def test_ids_equal_the_library(text):
     with open(tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         pass
     got = transducer.transducer(PATH).encode(text)
-    assert got == _library().encode_ordinary(text) and transducer.decode(got, PATH) == text
+    assert list(got) == _library().encode_ordinary(text) and transducer.decode(got, PATH) == text
 
 
 _CACHE: list = []
@@ -50,7 +50,7 @@ def _library():
 def test_long_words_and_special_strings(known):
     t = transducer.transducer(PATH)
     for text in ("a" * 30_000, "ab" * 9_000, "<|endoftext|>", " " * 5000, "é" * 4000, "\x00 " * 50):
-        assert t.encode(text) == known.encode_ordinary(text)
+        assert list(t.encode(text)) == known.encode_ordinary(text) and t.count(text) == len(t.encode(text))
 
 
 def test_stream_emits_the_same_ids_with_bounded_delay(known):
@@ -65,11 +65,34 @@ def test_stream_emits_the_same_ids_with_bounded_delay(known):
             sent += 1
             yield bytes([b])
 
-    for token in t.stream(pieces()):
+    for token in t.read(pieces()):
         seen.append((token, sent))
     assert [x for x, _ in seen] == known.encode_ordinary(word) and seen[0][1] < len(word)
 
 
+def test_lookahead_and_states_do_not_grow_with_the_word(known):
+    """The delay of every token of long words stays below the length of the longest token."""
+    t = transducer.Transducer(transducer.Vocabulary.from_file(PATH))
+    longest = max(map(len, t.vocabulary.ids))
+    rng = random.Random(4)
+    for word in ("ab" * 4000, "".join(rng.choice("etaoinshrdlu") for _ in range(5000)), "é中🙈" * 700, "=" * 3000):
+        data, sent, done = word.encode(), 0, 0
+        late, ids = 0, []
+
+        def pieces():
+            nonlocal sent
+            for b in data:
+                sent += 1
+                yield bytes([b])
+
+        for token in t.read(pieces()):
+            ids.append(token)
+            done += len(t.vocabulary.bytes[token])
+            late = max(late, sent - done)
+        assert ids == known.encode_ordinary(word) and late <= longest
+        assert all(len(rest) <= longest for rest in t.rests)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.binary(max_size=6), max_size=6))
 def test_utf8_reader_equals_the_decoder(parts):
