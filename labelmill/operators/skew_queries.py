@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from labelmill.functions.storage import table
-from labelmill.operators.skew import balanced_totals, fragment_replicate_join, plan_loads
+from labelmill.operators.skew import balanced_totals, bucket_of, fragment_replicate_join, plan_loads
 
 TOTALS = ["n_tc", "n_ag", "base_t", "base_a", "score"]
 #: p3_found: share of all rows from which a value counts as hot.
@@ -23,21 +23,27 @@ def totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def found(spark: SparkSession, folder: str) -> DataFrame:
+    """Only rows of buckets that may hold a hot key are totalled; the totals are exact."""
     keyed = _keyed(table(spark, folder, "counts_tc"), [])
     plan = plan_loads(keyed, ["field_name", "key_value"])
-    all_rows = plan.total // 2  # each row was counted once for either field
-    hot = balanced_totals(keyed, plan.keys, [], plan=plan).filter((F.col("n_rows") >= HOT_SHARE * all_rows) & F.col("key_value").isNotNull())
-    return hot.select("field_name", "key_value")
+    bound = HOT_SHARE * (plan.total // 2)  # each row was counted once for either field
+    # The loads of all buckets sum to two for each row, so no more than 2 / HOT_SHARE reach the bound.
+    near = keyed.filter(bucket_of(plan.keys, len(plan.counts)).isin(plan.at_least(bound)) & F.col("key_value").isNotNull())
+    return balanced_totals(near, plan.keys, [], plan=plan).filter(F.col("n_rows") >= bound).select("field_name", "key_value")
 
 
 def gene_strand_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """Label counts per gene on the gene's own strand; genes that are not annotated count as +."""
+    """Label counts per gene on the gene's own strand; genes that are not annotated count as +.
+
+    The joined rows are totalled where the join left them, shard by shard.
+    """
     counts = table(spark, folder, "counts_tc").select("gx", "n_tc", "n_ag", "base_t", "base_a")
     genes = table(spark, folder, "genes").select("gx", "strand")
     minus = F.coalesce(F.col("strand") == "-", F.lit(False))
-    joined = fragment_replicate_join(counts, genes, ["gx"], "left")
-    own = joined.select("gx", F.when(minus, F.col("n_ag")).otherwise(F.col("n_tc")).alias("conversion"), F.when(minus, F.col("base_a")).otherwise(F.col("base_t")).alias("base"))
-    return balanced_totals(own, ["gx"], ["conversion", "base"])
+    joined = fragment_replicate_join(counts, genes, ["gx"], "left", ordered=True, task="task")
+    own = joined.select("gx", "task", F.when(minus, F.col("n_ag")).otherwise(F.col("n_tc")).alias("conversion"), F.when(minus, F.col("base_a")).otherwise(F.col("base_t")).alias("base"))
+    shards = own.groupBy("gx", "task").agg(F.count(F.lit(1)).alias("n"), F.sum("conversion").alias("conversion"), F.sum("base").alias("base"))
+    return shards.groupBy("gx").agg(F.sum("n").alias("n_rows"), F.sum("conversion").alias("sum_conversion"), F.sum("base").alias("sum_base"))
 
 
 QUERIES = {"p3_found": found, "p3_totals": totals, "p3_gene_strand_totals": gene_strand_totals}

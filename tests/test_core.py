@@ -51,8 +51,34 @@ def test_balanced_totals_and_loads(spark, tasks):
             want[k][1] = (want[k][1] or 0) + v
     got = {r["k"]: [r["n_rows"], r["sum_v"]] for r in skew.balanced_totals(df, ["k"], ["v"], plan=plan).collect()}
     assert got == dict(want)
-    sizes = [r["count"] for r in skew.balanced_rows(df, ["k"], plan=plan).groupBy(F.spark_partition_id()).count().collect()]
+    sizes = [r["count"] for r in skew.balanced_rows(df, ["k"], plan=plan, ordered=True).groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) <= 1.4 * 3000 / tasks and sum(sizes) == 3000
+    assert plan.at_least(400) and "hot" in {k for k, n in want.items() if n[0] >= 400}
+
+
+def test_the_plan_places_the_rows_of_the_queries(spark, tmp_path):
+    """Rows in each physical partition, of a table of which one gene holds half and copies abound."""
+    from labelmill.operators import skew_queries
+
+    rng = random.Random(3)
+    rows = [count_row("r", barcode=f"c{rng.randrange(30)}", gx="hot" if rng.random() < 0.5 else f"g{rng.randrange(200)}", tc=1) for _ in range(8000)]
+    counts(spark, rows).coalesce(2).write.parquet(f"{tmp_path}/counts_tc.parquet")
+    spark.createDataFrame([("hot", "-"), ("g1", "+")], "gx string, strand string").write.parquet(f"{tmp_path}/genes.parquet")
+    own = spark.read.parquet(f"{tmp_path}/counts_tc.parquet").select("gx", "n_tc")
+    plan = skew.plan_loads(own, ["gx"], 4)
+    genes = spark.read.parquet(f"{tmp_path}/genes.parquet")
+    joined = skew.fragment_replicate_join(own, genes, ["gx"], "left", plan=plan, ordered=True, task="task")
+    placed = joined.groupBy(F.spark_partition_id().alias("p"), "task").count().collect()
+    assert all(r["p"] == r["task"] for r in placed) and len(placed) == 4 and sum(r["count"] for r in placed) == 8000
+    for r in placed:
+        assert abs(r["count"] - plan.loads[r["task"]]) <= 0.15 * 2000 and r["count"] <= 1.25 * 2000
+    hot = [r["count"] for r in joined.filter("gx = 'hot'").groupBy("task").count().collect()]
+    assert len(hot) == 4 and max(hot) <= 0.4 * sum(hot)
+    shards = skew.placed_totals(own, ["gx"], ["n_tc"], rows="n", plan=plan, task="task").groupBy(F.spark_partition_id().alias("p"), "task").agg(F.sum("n").alias("n")).collect()
+    assert all(r["p"] == r["task"] for r in shards) and sum(r["n"] for r in shards) == 8000
+    assert {tuple(r) for r in skew_queries.found(spark, str(tmp_path)).collect() if r[0] == "gx"} == {("gx", "hot")}
+    got = {r["gx"]: (r["n_rows"], r["sum_conversion"]) for r in skew_queries.gene_strand_totals(spark, str(tmp_path)).collect()}
+    assert got["hot"] == (sum(r[3] == "hot" for r in rows), 0) and got["g1"][0] == got["g1"][1] == sum(r[3] == "g1" for r in rows)
 
 
 def test_rows_with_maps_are_spread_too(spark):
