@@ -10,7 +10,7 @@ from labelmill.llm.mojibake import repair_texts
 from labelmill.llm.packing import MAX_BUDGETS, pack, usage
 from labelmill.llm.quantiles import combine, percentiles, sketches
 from labelmill.llm.reservoir import fixed_size_sample, population, reservoir_states
-from labelmill.llm.survivors import best_representatives
+from labelmill.llm.survivors import MARGIN, SUPPORT, best_representatives
 from labelmill.llm.transducer import check_round_trip, count_tokens, encode_texts
 
 SAMPLE_SIZE = 25_000
@@ -120,7 +120,12 @@ def _clean(name: str, suffix: bool = False) -> Column:
     return F.when(~text.isin("NA", "-"), text)
 
 
-def _molecules(spark: SparkSession, folder: str, keep: list[str]) -> DataFrame:
+#: Fields that a survivor takes from its companions where it lacks them, and those filled by precedence.
+P5_FILL, P5_CATEGORIES = ["velocity", "transcriptome", "score"], ["velocity", "transcriptome"]
+P5_KEPT = ["read_id", "aln_index", "base_a", "base_c", "base_g", "base_t", "run_day", "piece", "loaded_at"]
+
+
+def _molecules(spark: SparkSession, folder: str, keep: list[str], fill: list[str]) -> DataFrame:
     late = lambda c: F.struct(c.isNull().alias("none"), c.alias("value"))
     order = [
         F.when(F.col("transcriptome"), 0).when(~F.col("transcriptome"), 1).otherwise(2),
@@ -131,15 +136,17 @@ def _molecules(spark: SparkSession, folder: str, keep: list[str]) -> DataFrame:
         "aln_index",
     ]
     keys = {"barcode": _clean("barcode", suffix=True), "umi": _clean("umi"), "gx": F.when(~F.col("gx").isin("NA", "-"), F.col("gx"))}
-    return best_representatives(table(spark, folder, "alignments"), keys, order, keep, ["velocity", "transcriptome", "score"], ["velocity", "transcriptome"], "loaded_at", least=2)
+    return best_representatives(table(spark, folder, "alignments"), keys, order, keep, fill, P5_CATEGORIES, "loaded_at", least=2)
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    return _molecules(spark, folder, ["read_id", "aln_index"]).select("barcode", "umi", "gx", "read_id", "aln_index")
+    """The survivors; no field of theirs that has gaps is given, so there is nothing to fill."""
+    return _molecules(spark, folder, ["read_id", "aln_index"], []).select("barcode", "umi", "gx", "read_id", "aln_index")
 
 
 def p5_survivors(spark: SparkSession, folder: str) -> DataFrame:
-    return _molecules(spark, folder, ["read_id", "aln_index", "base_a", "base_c", "base_g", "base_t", "run_day", "piece", "loaded_at"])
+    """The survivors with all their fields, gaps filled."""
+    return _molecules(spark, folder, P5_KEPT, P5_FILL).withColumn("filled", F.array_join("filled", ","))
 
 
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -207,6 +214,11 @@ QUERIES = {
 }
 
 _BARCODE = "regexp_replace(upper(trim(barcode)), '-[0-9]+$', '')"
+#: The rows of all molecules, cleaned, with the size of their molecule and their place in it.
+_RANKED = f"""m AS (SELECT * REPLACE ({_BARCODE} AS barcode, upper(trim(umi)) AS umi) FROM alignments),
+    r AS (SELECT *, count(*) OVER (PARTITION BY barcode, umi, gx) AS n, row_number() OVER (PARTITION BY barcode, umi, gx ORDER BY
+        CASE WHEN transcriptome THEN 0 WHEN NOT transcriptome THEN 1 ELSE 2 END, score DESC NULLS LAST, velocity IS NULL, loaded_at DESC NULLS LAST, read_id, aln_index, base_a, base_c, base_g, base_t, run_day, piece) AS k
+        FROM m WHERE barcode NOT IN ('NA', '-') AND umi NOT IN ('NA', '-') AND gx NOT IN ('NA', '-') AND barcode IS NOT NULL AND umi IS NOT NULL AND gx IS NOT NULL)"""
 SQL = {
     "p1_size": f"SELECT count(*) AS n_rows, least(count(*), {SAMPLE_SIZE}) AS n_sampled, CAST(0 AS BIGINT) AS n_strange FROM counts_tc",
     "p2_within_bounds": f"""SELECT contig, genome_i, conversion, count(*) AS n_rows, true AS within FROM conversions WHERE contig IS NOT NULL AND genome_i IS NOT NULL AND conversion IS NOT NULL
@@ -223,9 +235,25 @@ SQL = {
     "p4_found": """SELECT 'quality' AS field_name, contig AS group_value FROM conversions WHERE contig IS NOT NULL AND quality IS NOT NULL GROUP BY contig HAVING quantile_cont(quality, 0.5) < 27
         UNION ALL SELECT 'coverage', contig FROM coverage WHERE contig IS NOT NULL AND coverage IS NOT NULL GROUP BY contig HAVING quantile_cont(coverage, 0.9) >= 50
         UNION ALL SELECT 'score', CAST(run_day AS VARCHAR) FROM alignments WHERE run_day IS NOT NULL AND score IS NOT NULL GROUP BY run_day HAVING quantile_cont(score, 0.1) < 20""",
-    "p5_found": f"""WITH m AS (SELECT {_BARCODE} AS barcode, upper(trim(umi)) AS umi, gx, read_id, aln_index, transcriptome, score, velocity, loaded_at FROM alignments),
-        r AS (SELECT *, count(*) OVER (PARTITION BY barcode, umi, gx) AS n, row_number() OVER (PARTITION BY barcode, umi, gx ORDER BY
-            CASE WHEN transcriptome THEN 0 WHEN NOT transcriptome THEN 1 ELSE 2 END, score DESC NULLS LAST, velocity IS NULL, loaded_at DESC NULLS LAST, read_id, aln_index) AS k
-            FROM m WHERE barcode NOT IN ('NA', '-') AND umi NOT IN ('NA', '-') AND gx NOT IN ('NA', '-') AND barcode IS NOT NULL AND umi IS NOT NULL AND gx IS NOT NULL)
-        SELECT barcode, umi, gx, read_id, aln_index FROM r WHERE k = 1 AND n >= 2""",
+    "p5_found": f"WITH {_RANKED} SELECT barcode, umi, gx, read_id, aln_index FROM r WHERE k = 1 AND n >= 2",
+    "p5_survivors": f"""WITH RECURSIVE {_RANKED},
+        dated AS ({" UNION ALL ".join(f"SELECT barcode, umi, gx, '{f}' AS field, CAST({f} AS VARCHAR) AS v, min(loaded_at) AS t FROM r WHERE loaded_at IS NOT NULL AND {f} IS NOT NULL GROUP BY ALL" for f in P5_CATEGORIES)}),
+        moved AS (SELECT field, a, v AS b FROM (SELECT *, lag(v) OVER w AS a, lag(t) OVER w AS s FROM dated WINDOW w AS (PARTITION BY barcode, umi, gx, field ORDER BY t, v)) WHERE s < t),
+        counted AS (SELECT field, least(a, b) AS a, greatest(a, b) AS b, count(*) FILTER (a < b) AS there, count(*) FILTER (a > b) AS back FROM moved GROUP BY ALL),
+        pairs AS (SELECT field, CASE WHEN there > back THEN a ELSE b END AS a, CASE WHEN there > back THEN b ELSE a END AS b FROM counted
+            WHERE there + back >= {SUPPORT} AND greatest(there, back) >= {MARGIN} * least(there, back)),
+        reach AS (SELECT field, a, b FROM pairs UNION SELECT r.field, r.a, p.b FROM reach r JOIN pairs p ON r.field = p.field AND r.b = p.a),
+        prec AS (SELECT * FROM reach x WHERE NOT EXISTS (SELECT 1 FROM reach y WHERE y.field = x.field AND y.a = x.b AND y.b = x.a)),
+        node AS (SELECT DISTINCT field, v, (SELECT count(*) FROM prec p WHERE p.field = n.field AND p.b = n.v) AS depth FROM (SELECT field, a AS v FROM pairs UNION SELECT field, b FROM pairs) n),
+        facts AS ({" UNION ALL ".join(f"""SELECT barcode, umi, gx, '{f}' AS field, CAST({f} AS VARCHAR) AS v, loaded_at AS t, CAST(coalesce(TRY_CAST(CAST({f} AS VARCHAR) AS INT), 0) AS INT) AS i FROM r WHERE n >= 2 AND {f} IS NOT NULL""" for f in P5_FILL)}),
+        newest AS (SELECT barcode, umi, gx, field, v FROM (SELECT *, row_number() OVER (PARTITION BY barcode, umi, gx, field ORDER BY t DESC, i DESC, v DESC) AS q FROM facts WHERE t IS NOT NULL) WHERE q = 1),
+        greatest_undated AS (SELECT barcode, umi, gx, field, v FROM (SELECT *, row_number() OVER (PARTITION BY barcode, umi, gx, field ORDER BY i DESC, v DESC) AS q FROM facts WHERE t IS NULL) WHERE q = 1),
+        latest AS (SELECT barcode, umi, gx, field, v FROM (SELECT f.barcode, f.umi, f.gx, f.field, f.v, row_number() OVER (PARTITION BY f.barcode, f.umi, f.gx, f.field ORDER BY d.depth DESC, f.v DESC) AS q
+            FROM facts f JOIN node d ON d.field = f.field AND d.v = f.v LEFT JOIN newest l ON l.barcode = f.barcode AND l.umi = f.umi AND l.gx = f.gx AND l.field = f.field
+            WHERE f.t IS NULL AND (l.v IS NULL OR EXISTS (SELECT 1 FROM prec p WHERE p.field = f.field AND p.a = l.v AND p.b = f.v))) WHERE q = 1),
+        given AS (SELECT barcode, umi, gx, field, v, rank FROM (SELECT *, row_number() OVER (PARTITION BY barcode, umi, gx, field ORDER BY rank) AS q FROM
+            (SELECT *, 1 AS rank FROM latest UNION ALL SELECT *, 2 FROM newest UNION ALL SELECT *, 3 FROM greatest_undated)) WHERE q = 1)
+        SELECT s.barcode, s.umi, s.gx, {", ".join(P5_KEPT)}, {", ".join(f"coalesce({f}, CAST(g_{f}.v AS {t})) AS {f}" for f, t in zip(P5_FILL, ("VARCHAR", "BOOLEAN", "INT")))}, n AS n_rows,
+        concat_ws(',', {", ".join(f"CASE WHEN {f} IS NULL AND g_{f}.v IS NOT NULL THEN '{f}' END" for f in P5_FILL)}) AS filled
+        FROM (SELECT * FROM r WHERE k = 1 AND n >= 2) s {" ".join(f"LEFT JOIN given g_{f} ON g_{f}.field = '{f}' AND g_{f}.barcode = s.barcode AND g_{f}.umi = s.umi AND g_{f}.gx = s.gx" for f in P5_FILL)}""",
 }

@@ -187,7 +187,7 @@ def test_survivors_and_their_gaps(spark):
         row("w", "x", None, True, 3, 5), row("w", "y", "unassigned", False, 9, 2), row("w", "z", "spliced", False, 1),  # one undated, later by precedence
         row("one", "x", "spliced", True, 3, 5), row(None, "x"), row(None, "y"),
     ]
-    got = {r["umi"]: r for r in molecules(spark.createDataFrame(rows, ROWS).repartition(3), least=2).collect()}
+    got = {r["umi"]: r for r in molecules(spark.createDataFrame(rows, ROWS).repartition(3), least=2, support=3).collect()}
     assert set(got) == {"u", "v", "w", "l0", "l1", "l2", "l3"}
     assert all(got[u]["read_id"] == "x" for u in "uvw")
     assert [got[u]["velocity"] for u in "uvw"] == ["unassigned", "spliced", "spliced"]
@@ -197,8 +197,59 @@ def test_survivors_and_their_gaps(spark):
 
 
 def test_precedence_has_no_cycles():
-    after = survivors.close_precedence({("a", "b"): 5, ("b", "c"): 4, ("c", "a"): 3, ("b", "a"): 1, ("d", "d"): 2})
-    assert after == {"a": ("b", "c"), "b": ("c",), "c": (), "d": ()}
+    closed = survivors.close_precedence({("a", "b"), ("b", "c"), ("c", "b"), ("c", "d")})
+    assert closed == {"a": {"b", "c", "d"}, "b": {"d"}, "c": {"d"}, "d": set()}
+    currency = survivors.Currency("f", closed)
+    assert [currency.depth(v) for v in currency.values] == [0, 1, 1, 3]
+
+
+def test_transitions_are_those_between_neighbours(spark):
+    """A group dated a, b, c moves from a to b and from b to c; noise and rare pairs give nothing."""
+    rows = [row(f"m{i}", r, v, None, None, t) for i in range(6) for r, v, t in (("x", "a", 0), ("y", "b", 1), ("z", "c", 2), ("w", "b", 4))]
+    rows += [row(f"n{i}", r, v, None, None, t) for i in range(10) for r, v, t in (("x", "d", i % 2), ("y", "e", 1 - i % 2))]
+    rows += [row("rare", "x", "f", None, None, 0), row("rare", "y", "g", None, None, 1), row("same", "x", "a", None, None, 3), row("same", "y", "g", None, None, 3)]
+    df = spark.createDataFrame(rows, ROWS).repartition(3)
+    keys = [F.col(k) for k in ("barcode", "umi", "gx")]
+    moved = {(r["a"], r["b"]): r["n"] for r in survivors.transitions(df, keys, ["velocity"], "loaded_at").collect()}
+    assert moved == {("a", "b"): 6, ("b", "c"): 6, ("d", "e"): 5, ("e", "d"): 5, ("f", "g"): 1}
+    learned = survivors.learn_currency(df, keys, ["velocity", "score"], "loaded_at", support=6)
+    assert set(learned) == {"velocity"} and learned["velocity"].after == {"a": {"b", "c"}, "b": {"c"}, "c": set()}
+
+
+def test_precedence_decides_within_a_group_only(spark):
+    """The newest dated value gives way to undated ones that come after it, and to no others."""
+    rows = [row(f"m{i}", r, v, True, 1, t) for i in range(4) for r, v, t in (("x", "a", 0), ("y", "b", 1), ("z", "c", 2))]
+    rows += [row(f"n{i}", r, v, True, 1, t) for i in range(4) for r, v, t in (("x", "p", 0), ("y", "q", 1))]
+    case = lambda umi, dated, *undated: [row(umi, "s", None, True, 9, 5), *([row(umi, "d", dated, False, 1, 3)] if dated else []), *[row(umi, f"u{v}", v, False, 1) for v in undated]]
+    rows += case("1", "b", "a") + case("2", "a", "b", "c") + case("3", "a", "q") + case("4", None, "a", "q", "p") + case("5", None, "z") + case("6", "c", "b", "c") + case("7", "a", "c", "q")
+    got = {r["umi"]: r["velocity"] for r in molecules(spark.createDataFrame(rows, ROWS), least=2, support=4).collect()}
+    assert [got[u] for u in "1234567"] == ["b", "c", "a", "q", "z", "c", "c"]
+
+
+def test_survivors_query_equals_its_sql(spark, tmp_path):
+    """With a precedence in the data, learned by either side."""
+    import duckdb
+
+    from labelmill.llm import queries
+
+    rng = random.Random(2)
+    stage = ["unassigned", "ambiguous", "unspliced", "spliced"]
+    rows = []
+    for i in range(900):
+        for j in range(rng.choice([1, 2, 3, 5])):
+            at = rng.choice([None, *range(8)])
+            v = stage[min(3, (at if at is not None else rng.randrange(8)) // 2)] if rng.random() < 0.8 else rng.choice([None, *stage])
+            rows.append((f"r{i}{j}", 1, f" c{i % 9}-1", f"u{i}", "g", 1, 2, 3, 4, v, rng.choice([True, False, None]), rng.choice([None, 3, 10]), dt.date(2031, 1, 1), j, AT[at] if at is not None else None))
+    schema = "read_id string, aln_index int, barcode string, umi string, gx string, base_a int, base_c int, base_g int, base_t int, velocity string, transcriptome boolean, score int, run_day date, piece int, loaded_at timestamp_ntz"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/alignments.parquet")
+    out = queries.p5_survivors(spark, str(tmp_path))
+    got = sorted(map(repr, map(tuple, out.collect())))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW alignments AS SELECT * FROM '{tmp_path}/alignments.parquet/*.parquet'")
+    want = con.execute(f"SELECT {', '.join(out.columns)} FROM ({queries.SQL['p5_survivors']})").fetchall()
+    assert got == sorted(map(repr, want)) and any("velocity" in r for r in got)
+    keys = [F.col(k) for k in ("barcode", "umi", "gx")]
+    assert "spliced" in survivors.learn_currency(spark.read.parquet(f"{tmp_path}/alignments.parquet"), keys, ["velocity"], "loaded_at")["velocity"].after["unassigned"]
 
 
 def test_survivors_against_brute_force(spark):
