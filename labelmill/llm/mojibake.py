@@ -2,18 +2,23 @@
 
 Each stretch of text without blanks that holds a character beyond ASCII (or an entity) is the start
 of a best-first graph search.  Nodes are texts; an edge encodes a text in the encoding it was read
-in and decodes the bytes in the one it was written in, replaces entities, or puts back control
-bytes that were lost on the way.  Nodes already seen are known by their hash and not opened again.
-The order is given by a cost: how implausible the characters are side by side, by pair counts over
-all documents, plus a price for every edge.
+in and decodes the bytes in the one it was written in, replaces entities, puts back bytes that
+were lost on the way and left a part of their character, or puts a character in the place of a
+replacement character.  Nodes already seen are known by their hash and not opened again.  The
+order is given by a cost: how implausible the characters are side by side, by pair counts over all
+documents, plus a price for every edge.  The search ends when no open node is within SLACK of the
+cheapest text reached.
 
 What was read wrongly was read so in one way: the gains of the stretches of a document that the
 same edges repair are added, and if they exceed the price of these edges by a margin, the stretches
-are garbled.  Characters that stand for lost bytes (U+FFFD, control characters) are garbled in
-themselves.
+are garbled.  A stretch with a sign of loss (U+FFFD, control characters) needs no margin: any more
+plausible text that the search reaches tells that it is garbled.
 
 Pair counts are taken over distinct texts, so copies of a garbled text do not make it plausible,
-and hashed into tables of fixed size, so what is sent to the executors does not grow.
+and hashed into tables of fixed size, so what is sent to the executors does not grow.  The search
+depends on a stretch alone, so each distinct one is searched once for all documents; those with a
+more plausible reading are marked in a Bloom filter of fixed size, and the documents' own pass
+searches only what the filter does not rule out.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ import math
 import re
 import uuid
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -33,6 +38,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from labelmill.functions.storage import checkpointed
 from labelmill.llm.parallel import spread
 
 #: Bits of the two hash tables for pairs of characters and of those for single ones.
@@ -41,12 +47,19 @@ PAIR_BITS, SINGLE_BITS = 19, 16
 MARGIN = 1.5
 #: Part of the price that counts while one stretch is searched; its whole is due once a document.
 SEARCH_SHARE = 0.4
-#: Nodes that a search opens at most, and nats by which an opened node may be dearer than the start.
-OPENED, SLACK = 12, 4.0
+#: Nats by which an opened node may be dearer than the cheapest one so far (at first, the start).
+SLACK = 4.0
+#: A search that has opened so many nodes is given up: its best reading so far counts, and the
+#: document is never called complete.  Over the test tables no search opens a thousand.
+MOST_NODES = 100_000
 #: Stretches whose outcome a worker remembers.
 REMEMBERED = 200_000
-#: Characters that may be put back where control bytes were lost: the most frequent ones.
-ALPHABET, LEAST_SEEN = 400, 20
+#: Nats by which a guess must beat the next one to stand in the restored text.
+SURE = 2.0
+#: Guesses kept from one lost character of a run to the next.
+BEAM = 16
+#: Bits of the filter of stretches that have a more plausible reading.
+FILTER_BITS = 23
 
 #: Encodings, the usual mistakes first; fixed values.
 READ_FOR_UTF8 = ("cp1252", "latin-1", "cp1250", "iso8859-2", "iso8859-15", "cp1251", "koi8-r", "cp437", "cp850", "cp866", "mac-roman", "cp1253", "cp1254", "iso8859-7", "mac-cyrillic", "gb18030", "big5", "shift_jis", "euc-kr")
@@ -57,8 +70,10 @@ READ_FOR_WIDE, WIDE_BYTES = ("cp1252", "latin-1"), ("gb18030", "shift_jis", "big
 #: Only one edge of a path may cost so much: most bytes are valid in any of these encodings, so two such edges prove nothing.
 BYTES_PRICE = 4.0
 EDGES = {(a, "utf-8"): 1.0 for a in READ_FOR_UTF8} | {(a, b): BYTES_PRICE for a in READ_FOR_BYTES for b in BYTES if a != b} | {(a, b): BYTES_PRICE for a in READ_FOR_WIDE for b in WIDE_BYTES}
-UNESCAPE, RESTORE = ("entities", ""), ("control bytes", "")
-PRICES = EDGES | {UNESCAPE: 0.5, RESTORE: 6.0}
+UNESCAPE, RESTORE, GUESS = ("entities", ""), ("lost bytes", ""), ("replacement characters", "")
+PRICES = EDGES | {UNESCAPE: 0.5, GUESS: 0.5}
+#: Putting back a character costs this and minus the log of its share of all characters beyond ASCII.
+RESTORE_PRICE = 3.0
 
 ENTITY = regex.compile(r"&(?:[A-Za-z]{2,8}[0-9]{0,2}|#x?[0-9A-Fa-f]+);")
 #: U+0085 is also a line end and no sign of loss by itself.
@@ -68,6 +83,7 @@ SEEN = regex.compile(r"[^\x00-\x7f\p{Z}\u200b-\u200f\ufeff]")
 START = re.compile(r"[^\x00-\x7f]|&")
 WIDE = regex.compile(r"[^\x00-\x7f]+")
 NEAR = regex.compile(r"(?s).[^\x00-\x7f]+.")
+REPLACED = re.compile("\ufffd+")
 DIGITS = regex.compile(r"[0-9]+(?:[.,][0-9]+)*")
 
 
@@ -107,7 +123,10 @@ def _slots(codes: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
 
 
 class Plausibility:
-    """Cost of a text: minus the log of the chance of each character after the one before it."""
+    """Cost of a text: minus the log of the chance of each character after the one before it.
+
+    Signs of loss are nothing that anyone writes: they cost as if they had never been seen.
+    """
 
     def __init__(self, singles: np.ndarray, pairs: np.ndarray) -> None:
         """Counts, shape (2, places): a count is the smaller one of its two places."""
@@ -118,8 +137,8 @@ class Plausibility:
 
     def _price(self, pair: str) -> float:
         one, two = _slots(np.array([ord(c) for c in pair], np.uint64))
-        first, second = (min(float(self.singles[0][a]), float(self.singles[1][b])) for a, b in zip(*one))
-        both = min(float(self.pairs[0][two[0][0]]), float(self.pairs[1][two[1][0]]))
+        first, second = (0.0 if LOST.search(c) else min(float(self.singles[0][a]), float(self.singles[1][b])) for c, a, b in zip(pair, *one))
+        both = 0.0 if LOST.search(pair) else min(float(self.pairs[0][two[0][0]]), float(self.pairs[1][two[1][0]]))
         return -math.log((both + 0.5 * (second + 0.02) / (self.total + 2000)) / (first + 0.5))
 
     def cost(self, text: str) -> float:
@@ -130,13 +149,17 @@ class Plausibility:
         for m in NEAR.finditer(text):
             for i in range(m.start(), m.end() - 1):
                 price = prices.get(pair := text[i : i + 2])
-                if price is None:
-                    if len(prices) > 4 * REMEMBERED:
-                        prices.clear()
-                    price = prices[pair] = self._price(pair)
-                total += price
+                total += self.price(pair) if price is None else price
         return total
 
+    def price(self, pair: str) -> float:
+        price = self.prices.get(pair)
+        if price is None:
+            if len(self.prices) > 4 * REMEMBERED:
+                self.prices.clear()
+            price = self.prices[pair] = self._price(pair)
+        return price
+
 
 #: Windows code pages leave bytes open; those are often passed on as they are.
 _OPEN_PAGES = ("cp1252", "cp1250", "cp1251", "cp1253", "cp1254")
@@ -167,17 +190,26 @@ def to_text(data: bytes, encoding: str) -> str | None:
         return None
 
 
-def lossy_forms(alphabet: str) -> list[tuple[str, str]]:
-    """What is left of characters whose UTF-8 was read as Latin-1 and lost its control bytes."""
+def lossy_forms(alphabet: Iterable[str]) -> dict[str, list[tuple[str, str]]]:
+    """What is left of characters whose UTF-8 was read in another encoding when bytes that mean
+    nothing there were dropped or replaced: first character -> (what is left, character)."""
     forms = set()
     for c in alphabet:
         data = c.encode("utf-8", "ignore")
         for encoding in ("latin-1", "cp1252"):
             whole = [to_text(bytes([b]), encoding) or "" for b in data]
             left = "".join(x for x in whole if not "\x80" <= x <= "\x9f" and x != "\xa0")
-            if left and left != c and len(left) < len(data):
+            if len(left) < len(data):
                 forms.add((left, c))
-    return sorted(forms, key=lambda x: (-len(x[0]), x))
+        for encoding in READ_FOR_UTF8:
+            left = data.decode(encoding, "replace")
+            if "\ufffd" in left and left.strip("\ufffd"):
+                forms.add((left, c))
+    by: dict[str, list[tuple[str, str]]] = defaultdict(list)
+    for left, c in sorted(forms, key=lambda x: (-len(x[0]), x)):
+        if left and left != c:
+            by[left[0]].append((left, c))
+    return dict(by)
 
 
 @lru_cache(maxsize=1 << 16)
@@ -225,18 +257,61 @@ def _convert(text: str, a: str, b: str) -> str:
 class Repairer:
     """Search over the ways in which a stretch may have come about."""
 
-    def __init__(self, model: Plausibility, alphabet: str) -> None:
-        self.model, self.forms = model, lossy_forms(alphabet)
-        self.known: dict[str, tuple[tuple, float]] = {}
+    def __init__(self, model: Plausibility, letters: dict[str, int], marked: np.ndarray | None = None) -> None:
+        """letters: characters beyond ASCII with their numbers; marked: a filter, see `mark`."""
+        self.model, self.marked = model, marked
+        letters = {c: n for c, n in letters.items() if c > "\x7f" and not LOST.search(c)}
+        total = sum(letters.values())
+        self.prices = {c: RESTORE_PRICE - math.log(n / total) for c, n in letters.items()}
+        self.alphabet = sorted(letters, key=lambda c: (-letters[c], c))
+        self.forms = lossy_forms(self.alphabet)
+        self.known: dict[str, tuple[tuple, float, bool]] = {}
+        self.guesses: dict[tuple[str, int, str], list[tuple[float, str]]] = {}
+
+    def price(self, edge: tuple) -> float:
+        return self.prices[edge[2]] if edge[0] == RESTORE[0] else PRICES[edge]
+
+    def fill(self, before: str, n: int, after: str) -> list[tuple[float, str]]:
+        """The likeliest n characters between two others, best first, with their costs."""
+        key = before, n, after
+        if (known := self.guesses.get(key)) is None:
+            price, paths = self.model.price, [(0.0, "")]
+            for _ in range(n):
+                longer = [(cost + price((p or before)[-1] + c), p + c) for cost, p in paths for c in self.alphabet]
+                paths = heapq.nsmallest(BEAM, longer)
+            known = sorted((cost + price(p[-1] + after), p) for cost, p in paths if p)
+            if len(self.guesses) > REMEMBERED:
+                self.guesses.clear()
+            self.guesses[key] = known
+        return known
+
+    def guess(self, text: str, sure: bool = False) -> str:
+        """text with the likeliest characters in place of replacement characters; if `sure`, only
+        where they are clearly likelier than any others."""
+        framed = f" {text} "
+
+        def put(m: re.Match) -> str:
+            best = self.fill(framed[m.start() - 1], len(m[0]), framed[m.end()])
+            if not best or (sure and len(best) > 1 and best[1][0] - best[0][0] < SURE):
+                return m[0]
+            return best[0][1]
+
+        return REPLACED.sub(put, framed)[1:-1]
 
     def apply(self, text: str, edge: tuple) -> Iterator[tuple[tuple, str]]:
         """Texts that an edge leads to, each with the edge (and the characters put back)."""
-        if edge[:2] == UNESCAPE:
+        if edge == UNESCAPE:
             yield edge, html.unescape(text)
+        elif edge == GUESS:
+            if "\ufffd" in text:
+                yield edge, self.guess(text)
+        elif edge == RESTORE:
+            for first in dict.fromkeys(text):
+                for left, c in self.forms.get(first, ()):
+                    if left in text:
+                        yield (RESTORE[0], left, c), text.replace(left, c)
         elif edge[0] == RESTORE[0]:
-            for left, c in self.forms if not edge[1] else [edge[1:]]:
-                if left in text:
-                    yield (RESTORE[0], left, c), text.replace(left, c)
+            yield edge, text.replace(edge[1], edge[2])
         else:
             yield edge, _convert(text, *edge)
 
@@ -246,15 +321,16 @@ class Repairer:
         elif text.isascii():
             return
         else:
-            edges = [*EDGES, RESTORE]
+            edges = [*EDGES, RESTORE, GUESS]
         for edge in edges:
             for exact, to in self.apply(text, edge):
                 # What is plain ASCII was never garbled, and no repair may lose more than it had lost.
                 if to and to != text and not to.isascii() and (not LOST.search(to) or LOST.search(text)):
-                    yield exact, to, PRICES[edge]
+                    yield exact, to, self.price(exact)
 
-    def search(self, start: str) -> tuple[tuple, float]:
-        """The edges to the cheapest text reached, and by how much it is more plausible.
+    def search(self, start: str) -> tuple[tuple, float, bool]:
+        """The edges to the cheapest text reached, by how much it is more plausible, and whether
+        the search came to its end.
 
         Entities are compared with the characters they stand for: to write one is no mistake.
         """
@@ -264,73 +340,86 @@ class Repairer:
         seen = {hash(start)}
         heap = [(base, 0, start, (), 0.0)]
         opened = 0
-        while heap and opened < OPENED:
+        while heap:
             total, _, text, path, paid = heapq.heappop(heap)
-            if total > base + SLACK:
+            if total > best_total + SLACK:
                 break
             opened += 1
+            if opened > MOST_NODES:
+                return best, gain, False
+            dear = any(PRICES.get(e, 0) >= BYTES_PRICE for e in path)
             for edge, to, price in self.neighbours(text):
-                if (key := hash(to)) in seen or (price >= BYTES_PRICE and any(PRICES.get(e, 0) >= BYTES_PRICE for e in path)):
+                if (key := hash(to)) in seen or (dear and PRICES.get(edge, 0) >= BYTES_PRICE):
                     continue
                 seen.add(key)
                 cost, due = self.model.cost(to), paid + SEARCH_SHARE * price
                 if cost + due < best_total and to != meant:
                     best, best_total, gain = (*path, edge), cost + due, base - cost
                 heapq.heappush(heap, (cost + due, len(seen), to, (*path, edge), due))
-        return best, gain
+        return best, gain, True
 
-    def judge(self, stretch: str) -> tuple[tuple, float]:
-        """Edges and gain for the shape of a stretch; remembered."""
+    def judge(self, stretch: str) -> tuple[tuple, float, bool]:
+        """Outcome of the search for the shape of a stretch; remembered."""
         key = shape(stretch)
         out = self.known.get(key)
         if out is None:
+            if self.marked is not None and not is_marked(self.marked, key):
+                return (), 0.0, True
             if len(self.known) > REMEMBERED:
                 self.known.clear()
             out = self.known[key] = self.search(key)
         return out
 
-    def ways(self, text: str) -> dict[tuple, float]:
-        """Edges -> gains less price over the stretches of a text that they repair best."""
+    def ways(self, text: str) -> tuple[dict[tuple, float], set[tuple], bool]:
+        """Edges -> gains less price over the stretches of a text that they repair best; those that
+        repair a sign of loss; and whether all searches came to their end."""
         gains: dict[tuple, float] = defaultdict(float)
+        prices: dict[tuple, float] = {}
+        lost, ended = set(), True
         for s in {shape(w) for w in stretches(text)}:
-            path, gain = self.judge(s)
+            path, gain, end = self.judge(s)
+            ended &= end
             if path:
-                gains[_kind(path)] += gain
-        return {k: g - sum(PRICES[e] for e in k) for k, g in gains.items()}
+                kind, price = _kind(path), sum(map(self.price, path))
+                gains[kind] += gain
+                prices[kind] = min(price, prices.get(kind, price))
+                if LOST.search(s):
+                    lost.add(kind)
+        return {k: g - prices[k] for k, g in gains.items()}, lost, ended
 
     def follow(self, text: str, path: tuple) -> str:
-        """text after all edges of a path."""
+        """text after all edges of a path; guesses stand only where they are sure."""
         for edge in path:
-            text = next((t for _, t in self.apply(text, edge)), text)
+            text = self.guess(text, True) if edge == GUESS else next((t for _, t in self.apply(text, edge)), text)
         return text
 
     def repair(self, text: str | None) -> tuple[bool, str | None, bool]:
-        """Whether a text is garbled, the text with all repairs, and whether nothing lost is left.
+        """Whether a text is garbled, the text with all repairs, and whether no sign of loss is left.
 
         A null text is not garbled, its repair is null.
         """
         if not text:
             return False, text, True
-        wrong = {k for k, g in self.ways(text).items() if g >= MARGIN}
-        lost = LOST.search(text) is not None
+        gains, lost, ended = self.ways(text)
+        wrong = {k for k, g in gains.items() if g >= MARGIN} | lost
         if not wrong:
-            return lost, text, not lost
+            return False, text, True
         done: dict[str, str] = {}
         for w in set(stretches(text)):
-            path, _ = self.judge(w)
+            path, _, _ = self.judge(w)
             if path and _kind(path) in wrong:
                 done[w] = self.follow(w, path)
                 continue
             # What is known to have gone wrong elsewhere in the text needs no more evidence here.
             for kind in sorted(wrong):
-                to = self.follow(w, kind) if RESTORE not in kind else w
+                to = self.follow(w, kind) if RESTORE not in kind and GUESS not in kind else w
                 # To be valid UTF-8 is evidence by itself; of other encodings the result must be likelier.
                 if to != w and (all(e[1] in ("utf-8", "") for e in kind) or self.model.cost(shape(to)) < self.model.cost(shape(w))):
                     done[w] = to
                     break
         parts = regex.split(r"([ \t\r\n])", text)
         out = "".join(done.get(p, p) for p in parts)
-        return True, out, LOST.search(out) is None
+        return True, out, ended and "\ufffd" not in text and LOST.search(out) is None
 
 
 def _kind(path: tuple) -> tuple:
@@ -348,71 +437,124 @@ def _shapes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["digest", "shapes"])
 
 
+def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Shapes of a partition with their numbers, added up as far as memory allows."""
+    held: Counter[str] = Counter()
+    for pdf in frames:
+        for shapes in pdf["shapes"]:
+            held.update(shapes)
+        if len(held) > REMEMBERED:
+            yield pd.DataFrame({"shape": list(held), "n": list(held.values())})
+            held.clear()
+    yield pd.DataFrame({"shape": list(held), "n": np.array(list(held.values()), np.int64)})
+
+
 def _tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Counts of a partition: tables 0 and 1 singles, 2 and 3 pairs, 4 characters."""
     tables = [np.zeros(1 << bits, np.int64) for bits in (SINGLE_BITS, SINGLE_BITS, PAIR_BITS, PAIR_BITS)]
     letters: Counter[str] = Counter()
-    held: Counter[str] = Counter()
-
-    def settle() -> None:
-        for s, n in held.items():
+    for pdf in frames:
+        for s, n in zip(pdf["shape"], pdf["n"]):
             one, two = _slots(_codes(s))
             for t, at in zip(tables, [*one, *two]):
                 np.add.at(t, at, n)
             for c in s:
                 if c > "\x7f":
                     letters[c] += n
-        held.clear()
-
-    for pdf in frames:
-        for shapes in pdf["shapes"]:
-            held.update(shapes)
-        if len(held) > 100_000:
-            settle()
-    settle()
     for k, t in enumerate(tables):
         at = np.flatnonzero(t)
         yield pd.DataFrame({"kind": k, "place": at, "n": t[at]})
     yield pd.DataFrame({"kind": 4, "place": [ord(c) for c in letters], "n": list(letters.values())}, dtype=np.int64)
 
 
-def learn(documents: DataFrame, text: str) -> tuple[Plausibility, str]:
-    """Pair counts over the distinct texts of all documents, and their most frequent characters.
+def distinct_shapes(documents: DataFrame, text: str) -> DataFrame:
+    """shape and n: the stretches of all distinct texts, each once, with their numbers."""
+    shapes = spread(documents.select(F.col(f"`{text}`").alias("text"))).mapInPandas(_shapes, "digest string, shapes array<string>")
+    counted = shapes.dropDuplicates(["digest"]).select("shapes").mapInPandas(_count, "shape string, n long")
+    return checkpointed(counted.groupBy("shape").agg(F.sum("n").alias("n")))
+
+
+def learn(shapes: DataFrame) -> tuple[Plausibility, dict[str, int]]:
+    """Pair counts over all shapes, and the characters beyond ASCII with their numbers.
 
     What reaches the driver is at most one number for each place of the tables and for each
     character of Unicode.
     """
-    shapes = spread(documents.select(F.col(f"`{text}`").alias("text"))).mapInPandas(_shapes, "digest string, shapes array<string>")
-    counts = shapes.dropDuplicates(["digest"]).select("shapes").mapInPandas(_tally, "kind long, place long, n long").groupBy("kind", "place").agg(F.sum("n").alias("n")).toPandas()
+    counts = shapes.mapInPandas(_tally, "kind long, place long, n long").groupBy("kind", "place").agg(F.sum("n").alias("n")).toPandas()
     singles, pairs = np.zeros((2, 1 << SINGLE_BITS)), np.zeros((2, 1 << PAIR_BITS))
     for table, k in ((singles[0], 0), (singles[1], 1), (pairs[0], 2), (pairs[1], 3)):
         own = counts[counts["kind"] == k]
         table[own["place"].to_numpy(np.int64)] = own["n"].to_numpy(float)
-    own = counts[(counts["kind"] == 4) & (counts["n"] >= LEAST_SEEN)].sort_values(["n", "place"], ascending=[False, True]).head(ALPHABET)
-    return Plausibility(singles.astype(np.float32), pairs.astype(np.float32)), "".join(chr(c) for c in own["place"])
+    own = counts[counts["kind"] == 4].sort_values("place")
+    return Plausibility(singles.astype(np.float32), pairs.astype(np.float32)), dict(zip(map(chr, own["place"]), map(int, own["n"])))
+
+
+def bits_of(key: str) -> tuple[int, int]:
+    """Two places of the filter for a shape."""
+    h = int.from_bytes(hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    return h & (1 << FILTER_BITS) - 1, h >> 32 & (1 << FILTER_BITS) - 1
+
+
+def is_marked(marked: np.ndarray, key: str) -> bool:
+    return all(marked[i >> 3] >> (i & 7) & 1 for i in bits_of(key))
+
+
+def mark(shapes: DataFrame, make: Callable[[], Repairer]) -> np.ndarray:
+    """The filter of the shapes that have a more plausible reading, or whose search was given up.
+
+    At most one number for each bit reaches the driver; the more bits are set, the more shapes are
+    searched again, and none is missed.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        repairer, bits = make(), set()
+        for pdf in frames:
+            for s in pdf["shape"]:
+                path, _, ended = repairer.search(s)
+                if path or not ended:
+                    bits.update(bits_of(s))
+        yield pd.DataFrame({"bit": np.array(sorted(bits), np.int64)})
+
+    bits = spread(shapes.select("shape")).mapInPandas(run, "bit long").distinct().toPandas()["bit"].to_numpy(np.int64)
+    flags = np.zeros(1 << FILTER_BITS, np.uint8)
+    flags[bits] = 1
+    return np.packbits(flags, bitorder="little")
 
 
 #: The repairer of a worker, by the run it belongs to.
 _REPAIRERS: dict[str, Repairer] = {}
 
 
+def _held(number: str, shared, *more) -> Callable[[], Repairer]:
+    """A function that gives a worker's repairer, made of broadcast parts when it is first asked for."""
+
+    def make() -> Repairer:
+        if number not in _REPAIRERS:
+            _REPAIRERS.clear()
+            singles, pairs, letters = shared.value
+            _REPAIRERS[number] = Repairer(Plausibility(singles, pairs), letters, *[m.value for m in more])
+        return _REPAIRERS[number]
+
+    return make
+
+
 def repair_texts(documents: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """keep, garbled, restored and complete for every document.
 
-    restored is the text with the repairs that were found; complete says that no sign of lost
-    bytes is left.  Null, empty and blank texts are not garbled.  The result depends on the other
-    documents only through the pair counts.
+    restored is the text with the repairs that were found; complete says that no search was given
+    up and that there was no replacement character (what stands in its place is a guess) and no
+    other sign of loss is left.  Null, empty and blank texts are not garbled.  The result depends on the other documents only through the
+    pair counts.
     """
-    model, alphabet = learn(documents, text)
-    shared = documents.sparkSession.sparkContext.broadcast((model.singles, model.pairs, alphabet))
-    n, number = len(keep), uuid.uuid4().hex
+    shapes = distinct_shapes(documents, text)
+    model, letters = learn(shapes)
+    context = documents.sparkSession.sparkContext
+    shared = context.broadcast((model.singles, model.pairs, letters))
+    marked = context.broadcast(mark(shapes, _held(uuid.uuid4().hex, shared)))
+    make, n = _held(uuid.uuid4().hex, shared, marked), len(keep)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if number not in _REPAIRERS:
-            _REPAIRERS.clear()
-            singles, pairs, letters = shared.value
-            _REPAIRERS[number] = Repairer(Plausibility(singles, pairs), letters)
-        repairer = _REPAIRERS[number]
+        repairer = make()
         for pdf in frames:
             found = [repairer.repair(x if isinstance(x, str) else None) for x in pdf.iloc[:, n]]
             yield pdf.iloc[:, :n].assign(**{"garbled": [x[0] for x in found], "restored": [x[1] for x in found], "complete": [x[2] for x in found]})

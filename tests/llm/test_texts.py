@@ -151,6 +151,34 @@ def test_texts_read_in_a_wrong_encoding_are_found_and_restored(spark):
     assert right >= 0.9 * len(want)
 
 
+def test_the_filter_of_stretches_misses_none(spark):
+    """One search for each distinct stretch finds what searching in every document finds."""
+    rng = random.Random(3)
+    rows = [(i, t.encode().decode("cp1252", "replace") if rng.random() < 0.1 else t) for i, t in enumerate(corpus())]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    shapes = mojibake.distinct_shapes(df, "text")
+    model, letters = mojibake.learn(shapes)
+    alone = mojibake.Repairer(model, letters)
+    marked = mojibake.mark(shapes, lambda: mojibake.Repairer(model, letters))
+    paths = {r["shape"]: alone.search(r["shape"])[0] for r in shapes.collect()}
+    assert all(mojibake.is_marked(marked, s) for s, path in paths.items() if path) and any(paths.values())
+    assert sum(mojibake.is_marked(marked, s) for s, path in paths.items() if not path) <= 1
+    got = {r["doc_id"]: (r["garbled"], r["restored"], r["complete"]) for r in mojibake.repair_texts(df, "text", ["doc_id"]).collect()}
+    assert got == {i: alone.repair(t) for i, t in rows}
+
+
+def test_lost_bytes_are_put_back_from_what_they_left():
+    forms = mojibake.lossy_forms("\u0444\u2019\u2265\u00e0")
+    assert ("\u00d1", "\u0444") in forms["\u00d1"] and ("\u00c3", "\u00e0") in forms["\u00c3"]
+    assert ("\u922e\ufffd", "\u2265") in forms["\u922e"]
+
+
+def test_replacement_characters_are_guessed_where_that_is_sure(spark):
+    rows = [(i, t) for i, t in enumerate(corpus())] + [(9000, "h\ufffdher und f\ufffdr 1"), (9001, "\ufffd"), (9002, "plain \ufffd text")]
+    got = {r["doc_id"]: r for r in mojibake.repair_texts(spark.createDataFrame(rows, "doc_id long, text string"), "text", ["doc_id"]).collect()}
+    assert got[9000]["garbled"] and not got[9000]["complete"] and got[9000]["restored"].startswith("h\u00f6her")
+
+
 def test_no_texts(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert mojibake.repair_texts(empty, "text", ["doc_id"]).count() == 0
