@@ -446,7 +446,8 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if len(held) > REMEMBERED:
             yield pd.DataFrame({"shape": list(held), "n": list(held.values())})
             held.clear()
-    yield pd.DataFrame({"shape": list(held), "n": np.array(list(held.values()), np.int64)})
+    if held:
+        yield pd.DataFrame({"shape": list(held), "n": list(held.values())})
 
 
 def _tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
