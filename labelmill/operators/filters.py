@@ -50,15 +50,6 @@ def mismatches(df: DataFrame, conversions: list[str] | None = None, quality: int
     return out.filter(F.col("conversion").isin(with_complements(conversions) if both_strands else sorted(conversions)))
 
 
-def called_positions(df: DataFrame, genome: str, read: str) -> DataFrame:
-    """Positions where neither base is N."""
-    return df.filter((F.upper(genome) != "N") & (F.upper(read) != "N"))
-
-
-def differing(genome: str, read: str) -> Column:
-    return F.upper(genome) != F.upper(read)
-
-
 def assigned(df: DataFrame) -> DataFrame:
     """Reads that have a gene and a velocity class."""
     return df.filter(F.col("gx").isNotNull() & (F.col("gx") != "") & F.col("velocity").isNotNull())

@@ -81,6 +81,14 @@ def coverage_of(reads: DataFrame, positions: str = "positions", at: DataFrame |
     return each.groupBy("contig", "genome_i").agg(F.count(F.lit(1)).alias("coverage"))
 
 
+def coverage_of_segments(reads: DataFrame, at: DataFrame | None = None) -> DataFrame:
+    """The same for reads whose covered positions are disjoint half-open segments."""
+    segment = reads.select("contig", F.explode("segments").alias("s")).select("contig", F.explode(F.sequence("s.start", F.col("s.end") - 1)).alias("genome_i"))
+    if at is not None:
+        segment = segment.join(at.select("contig", "genome_i").distinct(), ["contig", "genome_i"], "left_semi")
+    return segment.groupBy("contig", "genome_i").agg(F.count(F.lit(1)).alias("coverage"))
+
+
 def background_control(counts: DataFrame, labels: list[list[str]]) -> DataFrame:
     """One rate for a control without label: all label conversions over all their bases."""
     conversions = sorted({c for label in labels for c in label})

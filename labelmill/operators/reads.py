@@ -1,17 +1,20 @@
-"""Alignment records decoded base by base: mismatches, base contents, velocity, coverage.
+"""Alignment records decoded: mismatches, base contents, velocity, coverage, consensus.
 
 Records have read_id, flag, contig, start (from 0), cigar, seq, quality (array of int), and tags
-(map of strings).  Only the walk over CIGAR and MD runs in Python, once for each read.
+(map of strings).  CIGAR and MD are read in Python on Arrow batches, operation by operation: an
+aligned stretch is a piece of text, so the work grows with the number of stretches and mismatches
+of a read and not with its bases.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from labelmill.functions.sequences import BASES, BASE_COLUMNS
 from labelmill.functions.storage import checkpointed
@@ -21,119 +24,228 @@ _CIGAR = re.compile(r"(\d+)([MIDNSHP=X])")
 _MD = re.compile(r"(\d+)|\^([A-Za-z]+)|([A-Za-z])")
 
 
-def aligned_pairs(start: int, cigar: str, md: str, seq: str) -> Iterator[tuple[int | None, int, str]]:
-    """(place in the read or None where it lacks a base, position, base of the reference)."""
-    changes: list[tuple[str, str]] = []  # of the positions that the alignment covers
-    for same, gone, other in _MD.findall(md):
-        if same:
-            changes.extend([("=", "")] * int(same))
-        else:
-            changes.extend(("^", b) for b in gone) if gone else changes.append(("X", other))
-    at = iter(changes)
-    i, p = 0, start
-    for n, op in ((int(n), op) for n, op in _CIGAR.findall(cigar)):
+@lru_cache(maxsize=1 << 14)
+def stretches(cigar: str) -> tuple[tuple[tuple[int, int, int], ...], tuple[tuple[int, int], ...]]:
+    """Aligned stretches (place in the read, place from the start of the alignment, length) and
+    deletions (place, length)."""
+    aligned, gone, i, p = [], [], 0, 0
+    for n, op in _CIGAR.findall(cigar):
+        n = int(n)
         if op in "M=X":
-            for _ in range(n):
-                kind, base = next(at, ("=", ""))
-                yield i, p, (seq[i] if kind == "=" else base).upper()
-                i, p = i + 1, p + 1
+            aligned.append((i, p, n))
+            i, p = i + n, p + n
         elif op == "D":
-            for _ in range(n):
-                yield None, p, next(at, ("^", "N"))[1].upper()
-                p += 1
+            gone.append((p, n))
+            p += n
         elif op == "N":
             p += n
         elif op in "IS":
             i += n
-
-
-def _decode(start: int, cigar: str, md: str, seq: str, quality, deleted: bool) -> tuple[Counter, dict[int, tuple[str, str, int]], list[int]]:
-    """Content of the reference, position -> (reference, read, quality) without N, all positions."""
-    content: Counter[str] = Counter()
-    called: dict[int, tuple[str, str, int]] = {}
-    positions = []
-    for i, p, ref in aligned_pairs(start, cigar, md, seq):
-        if i is None:
-            if deleted:
-                content[ref] += 1
-            continue
-        content[ref] += 1
-        positions.append(p)
-        alt = seq[i].upper()
-        if ref != "N" and alt != "N":
-            called[p] = (ref, alt, int(quality[i]))
-    return content, called, positions
-
-
-def merge_pair(first, second, nasc: bool = False):
-    """Content, mismatches and positions of two mates as of one read.
+    return tuple(aligned), tuple(gone)
+
+
+class Record:
+    """A record along its alignment: the bases read and those of the reference as two texts of
+    equal length, of all aligned stretches one after the other."""
+
+    __slots__ = ("start", "runs", "gone", "read", "reference", "deleted", "changed")
+
+    def __init__(self, start: int, cigar: str, md: str, seq: str) -> None:
+        self.start = start
+        self.runs, self.gone = stretches(cigar or "")
+        seq = (seq or "").upper()
+        self.read = "".join(seq[i : i + n] for i, _, n in self.runs)
+        self.deleted, self.changed = "", []
+        if md.isdigit() or not md:
+            self.reference = self.read
+            self.deleted = "N" * sum(n for _, n in self.gone)
+            return
+        at, letters, gone = 0, list(self.read), []
+        for same, lost, other in _MD.findall(md):
+            if same:
+                at += int(same)
+            elif lost:
+                gone.append(lost.upper())
+            else:
+                if at < len(letters):
+                    letters[at] = other.upper()
+                    self.changed.append(at)
+                at += 1
+        self.reference, self.deleted = "".join(letters), "".join(gone)
+        self.deleted = self.deleted.ljust(sum(n for _, n in self.gone), "N")
+
+    def segments(self) -> list[tuple[int, int]]:
+        """Covered positions as half-open segments, as long as possible."""
+        out: list[tuple[int, int]] = []
+        for _, p, n in self.runs:
+            p += self.start
+            if out and out[-1][1] == p:
+                out[-1] = out[-1][0], p + n
+            else:
+                out.append((p, p + n))
+        return out
+
+    def position(self, at: int) -> tuple[int, int]:
+        """The position and the place in the read of a place in the two texts."""
+        for i, p, n in self.runs:
+            if at < n:
+                return self.start + p + at, i + at
+            at -= n
+        raise IndexError(at)
+
+    def place(self, position: int) -> int | None:
+        """The place in the two texts of a covered position."""
+        before = 0
+        for _, p, n in self.runs:
+            off = position - self.start - p
+            if 0 <= off < n:
+                return before + off
+            before += n
+        return None
+
+    def called(self, at: int) -> bool:
+        return self.read[at] != "N" and self.reference[at] != "N"
+
+    def content(self, deleted: bool) -> list[int]:
+        return [self.reference.count(b) + (self.deleted.count(b) if deleted else 0) for b in BASES]
+
+    def mismatches(self, quality: np.ndarray) -> dict[int, tuple[str, str, int]]:
+        """position -> bases of reference and read, and the quality of the latter."""
+        out = {}
+        for at in self.changed:
+            if self.reference[at] != self.read[at] and self.called(at):
+                p, i = self.position(at)
+                out[p] = self.reference[at], self.read[at], int(quality[i])
+        return out
+
+
+def merge_pair(first: Record, first_quality: np.ndarray, second: Record, second_quality: np.ndarray, *, nasc: bool = False, deleted: bool = True) -> tuple[list[int], dict[int, tuple[str, str, int]], list[tuple[int, int]]]:
+    """Content, mismatches and covered segments of two mates as of one read.
 
     In the overlap the later mate's mismatch counts, unless the earlier one has a mismatch of
     higher quality there; a position where the later mate has no called base keeps the earlier
     one's mismatch.  nasc: mismatches of the earlier mate within the overlap never count.
     """
-    content1, called1, positions1 = first
-    content2, called2, positions2 = second
-    there = set(positions2)
-    content = content1 + content2 - Counter(ref for p, (ref, _, _) in called1.items() if p in there)
-    found = {p: x for p, x in called2.items() if x[0] != x[1]}
-    for p, x in called1.items():
-        if x[0] == x[1]:
-            continue
-        if p not in there:
+    content = [a + b for a, b in zip(first.content(deleted), second.content(deleted))]
+    # Bases of the earlier mate that are called count once where the later one lies as well.
+    known = first.reference
+    if "N" in first.read:
+        known = "".join(r if b != "N" else "N" for r, b in zip(known, first.read))
+    before = 0
+    for _, p, n in first.runs:
+        start = first.start + p
+        for low, high in second.segments():
+            piece = known[before + max(0, low - start) : before + max(0, min(n, high - start))]
+            if piece:
+                content = [c - piece.count(b) for c, b in zip(content, BASES)]
+        before += n
+    found = second.mismatches(second_quality)
+    for p, x in first.mismatches(first_quality).items():
+        at = second.place(p)
+        if at is None:
             found[p] = x
-        elif not nasc and (p not in called2 or x[2] > called2[p][2]):
+        elif not nasc and (not second.called(at) or x[2] > second_quality[second.position(at)[1]]):
             found[p] = x
-    return content, found, sorted(there | set(positions1))
+    segments: list[tuple[int, int]] = []
+    for low, high in sorted(first.segments() + second.segments()):
+        if segments and low <= segments[-1][1]:
+            segments[-1] = segments[-1][0], max(high, segments[-1][1])
+        else:
+            segments.append((low, high))
+    return content, found, segments
+
+
+_ALIGNED = T.StructType([T.StructField(n, t) for n, t in (("start", T.LongType()), ("cigar", T.StringType()), ("md", T.StringType()), ("seq", T.StringType()), ("quality", T.ArrayType(T.IntegerType())))])
+_SEGMENT = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+_FOUND = pa.struct([("genome_i", pa.int64()), ("conversion", pa.string()), ("quality", pa.int32())])
+_OUT = [T.StructField(c, T.IntegerType()) for c in BASE_COLUMNS] + [
+    T.StructField("segments", T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("start", "end")]))),
+    T.StructField("found", T.ArrayType(T.StructType([T.StructField("genome_i", T.LongType()), T.StructField("conversion", T.StringType()), T.StructField("quality", T.IntegerType())]))),
+]
+
+
+def _records(column: pa.StructArray) -> Iterator[tuple[Record, np.ndarray] | None]:
+    """Records of a column of structs, with their qualities; None for a null."""
+    start, cigar, md, seq = (column.field(n).to_pylist() for n in ("start", "cigar", "md", "seq"))
+    quality = column.field("quality")
+    ends, values = quality.offsets.to_numpy(), quality.values.fill_null(0).to_numpy(zero_copy_only=False)
+    there = column.is_valid().to_pylist()
+    for i, ok in enumerate(there):
+        if not ok:
+            yield None
+            continue
+        own = values[ends[i] : ends[i + 1]]
+        lacking = len(seq[i] or "") - len(own)  # qualities may be missing
+        yield Record(start[i], cigar[i], md[i] or "", seq[i]), own if lacking <= 0 else np.concatenate([own, np.zeros(lacking, own.dtype)])
+
+
+def _lists(parts: list[list[tuple]], kind: pa.StructType) -> pa.ListArray:
+    flat = [x for part in parts for x in part]
+    columns = list(zip(*flat)) if flat else [()] * kind.num_fields
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(c, kind[i].type) for i, c in enumerate(columns)], fields=list(kind)))
 
 
-_MATES = "array<struct<place:bigint,start:bigint,flag:int,cigar:string,md:string,seq:string,quality:array<int>>>"
-_OUT = ", ".join(f"{c} int" for c in BASE_COLUMNS) + ", positions array<bigint>, found array<struct<genome_i:bigint,conversion:string,quality:int>>"
+class _Decode:
+    """The last two columns of a batch, both mates, as contents, segments and mismatches."""
+
+    def __init__(self, nasc: bool, deleted: bool) -> None:
+        self.nasc, self.deleted = nasc, deleted
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            contents, segments, found = [], [], []
+            for one, two in zip(_records(batch.column(batch.num_columns - 2)), _records(batch.column(batch.num_columns - 1))):
+                if two is None:
+                    record, quality = one
+                    content, mismatches, covered = record.content(self.deleted), record.mismatches(quality), record.segments()
+                else:
+                    content, mismatches, covered = merge_pair(*one, *two, nasc=self.nasc, deleted=self.deleted)
+                contents.append(content)
+                segments.append(covered)
+                found.append([(p, r + a, q) for p, (r, a, q) in sorted(mismatches.items())])
+            bases = np.array(contents, np.int32).reshape(-1, len(BASES))
+            new = [*(pa.array(bases[:, i]) for i in range(len(BASES))), _lists(segments, _SEGMENT), _lists(found, _FOUND)]
+            names = batch.schema.names[:-2] + [f.name for f in _OUT]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *new], names=names)
+
+
+def _aligned(tags: str = "tags") -> Column:
+    """What decoding needs of a record."""
+    return F.struct(F.col("start").cast("long").alias("start"), "cigar", F.try_element_at(tags, F.lit("MD")).alias("md"), "seq", F.coalesce(F.col("quality").cast("array<int>"), F.array().cast("array<int>")).alias("quality"))
 
 
 def decode_reads(records: DataFrame, *, paired: bool | None = None, nasc: bool = False, deleted: bool = True) -> DataFrame:
-    """Reads (pairs as one) with base contents, covered positions and mismatches.
-
-    Every unpaired record is a read, supplementary and repeated ones too.  The paired records of
-    one read_id, HI tag and contig are put in order (start, flag, then their other values) and
-    paired two by two; an odd last one has no mate and is dropped.  So n repeats of an unpaired
-    read give n reads, and a pair delivered twice gives two, of which, mates of one start being
-    neighbours in the order, each may hold one mate twice.  `part` tells reads of one read_id
-    and HI apart.  Of two mates the one that starts further left (then the first mate) is the
-    earlier one.  `deleted`: bases of the reference that a read lacks count in its content.
+    """Reads (pairs as one) with base contents, covered segments and mismatches.
+
+    Every unpaired record is a read, supplementary and repeated ones too; none of them is shuffled.
+    The paired records of one read_id, HI tag and contig are put in order (start, flag, then their
+    other values) and paired two by two; an odd last one has no mate and is dropped.  So n repeats
+    of an unpaired read give n reads, and a pair delivered twice gives two, of which, mates of one
+    start being neighbours in the order, each may hold one mate twice.  `part` tells reads of one
+    read_id and HI apart.  Of two mates the one that starts further left (then the first mate) is
+    the earlier one.  `deleted`: bases of the reference that a read lacks count in its content.
+    paired: whether all (True) or no (False) records are paired, where that is known.
     """
     tag = lambda t, d: F.coalesce(F.try_element_at("tags", F.lit(t)).try_cast("int"), F.lit(d))
-    mate = F.struct(F.col("start").cast("long").alias("place"), F.col("start").cast("long").alias("start"), F.col("flag").cast("int").alias("flag"), "cigar", F.coalesce(F.try_element_at("tags", F.lit("MD")), F.lit("")).alias("md"), "seq", F.col("quality").cast("array<int>").alias("quality"))
     pair = F.col("flag").bitwiseAND(F.lit(filters.PAIRED)) != 0
-    rows = records.select("read_id", tag("HI", 1).alias("aln_index"), "contig", "flag", "tags", tag("AS", 0).alias("score"), "start", pair.alias("pair_"), mate.alias("mate_"))
-    # Both windows need one order; tags are compared only between records that are else the same.
-    key = W.partitionBy("read_id", "aln_index")
-    own = key.orderBy("pair_", "contig", "mate_", F.array_sort(F.map_entries("tags")))
-    rows = rows.withColumn("part", F.row_number().over(own)).withColumn("next_", F.lead(F.struct("pair_", "contig", "flag", "tags", "score", "mate_")).over(own))
-    rows = rows.withColumn("first_", F.rank().over(key.orderBy("pair_", "contig")))
-    mated = (F.col("next_.pair_") & F.col("next_.contig").eqNullSafe(F.col("contig"))) & ((F.col("part") - F.col("first_")) % 2 == 0)
-    later = lambda c: F.when(F.col("pair_"), F.col(f"next_.{c}")).otherwise(F.col(c)).alias(c)
-    mates = F.when(F.col("pair_"), F.array("mate_", "next_.mate_")).otherwise(F.array("mate_")).cast(_MATES).alias("mates")
-    score = F.when(F.col("pair_"), F.greatest("score", "next_.score")).otherwise(F.col("score")).alias("score")
-    reads = rows.filter(~F.col("pair_") | mated).select("read_id", "aln_index", "part", "contig", later("flag"), later("tags"), score, "start", mates)
-    names = reads.columns
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            out = []
-            for mates in pdf["mates"]:
-                parts = [_decode(m["start"], m["cigar"], m["md"], m["seq"], m["quality"], deleted) for m in mates]
-                if len(parts) == 2:
-                    content, found, positions = merge_pair(*parts, nasc)
-                else:
-                    content, called, positions = parts[0]
-                    found = {p: x for p, x in called.items() if x[0] != x[1]}
-                out.append((*[content[b] for b in BASES], positions, [{"genome_i": p, "conversion": r + a, "quality": q} for p, (r, a, q) in sorted(found.items())]))
-            yield pd.concat([pdf.drop(columns="mates"), pd.DataFrame(out, columns=[*BASE_COLUMNS, "positions", "found"], index=pdf.index)], axis=1)
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in reads.schema if f.name != "mates")
-    assert names[-1] == "mates"
-    return reads.mapInPandas(run, f"{fields}, {_OUT}")
+    facts = ["read_id", "aln_index", "part", "contig", "flag", "tags", "score", "start"]
+    rows = records.select("read_id", tag("HI", 1).alias("aln_index"), "contig", F.col("flag").cast("int").alias("flag"), "tags", tag("AS", 0).alias("score"), F.col("start").cast("long").alias("start"), _aligned().alias("mate_"), pair.alias("pair_"))
+    parts = []
+    if paired is not True:
+        # Numbers above those of pairs; they hold for as long as the result is kept.
+        number = F.monotonically_increasing_id() + F.lit(1 << 62)
+        parts.append(rows.filter(~F.col("pair_")).withColumn("part", number).select(*facts, F.col("mate_").alias("one"), F.lit(None).cast(_ALIGNED).alias("two")))
+    if paired is not False:
+        # Both windows need one order; tags are compared only between records that are else the same.
+        key = W.partitionBy("read_id", "aln_index", "contig")
+        own = key.orderBy("start", "flag", "mate_", F.array_sort(F.map_entries("tags")))
+        mates = rows.filter("pair_").withColumn("in_", F.row_number().over(own)).withColumn("next_", F.lead(F.struct("flag", "tags", "score", "mate_")).over(own))
+        mates = mates.filter("in_ % 2 = 1 and next_ is not null").withColumn("part", F.col("in_").cast("long"))
+        later = [F.col(f"next_.{c}").alias(c) if c in ("flag", "tags") else F.greatest("score", "next_.score").alias(c) if c == "score" else F.col(c) for c in facts]
+        parts.append(mates.select(*later, F.col("mate_").alias("one"), F.col("next_.mate_").alias("two")))
+    reads = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return reads.mapInArrow(_Decode(nasc, deleted), T.StructType([*reads.schema.fields[:-2], *_OUT]))
 
 
 def countable(records: DataFrame, *, umi_tag: str | None = None, barcode_tag: str | None = None, gene_tag: str | None = "GX", barcodes: DataFrame | None = None, velocity: bool = True) -> DataFrame:
@@ -144,7 +256,7 @@ def countable(records: DataFrame, *, umi_tag: str | None = None, barcode_tag: st
     return filters.known_barcodes(kept.withColumn("barcode_", F.try_element_at("tags", F.lit(barcode_tag))), barcodes, "barcode_").drop("barcode_")
 
 
-def parse_reads(records: DataFrame, genes: DataFrame, transcripts: DataFrame | None, *, strand: str = "forward", umi_tag: str | None = None, barcode_tag: str | None = None, gene_tag: str | None = "GX", barcodes: DataFrame | None = None, nasc: bool = False, velocity: bool = True, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+def parse_reads(records: DataFrame, genes: DataFrame, transcripts: DataFrame | None, *, strand: str = "forward", umi_tag: str | None = None, barcode_tag: str | None = None, gene_tag: str | None = "GX", barcodes: DataFrame | None = None, nasc: bool = False, velocity: bool = True, strict: bool = True, paired: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """Alignments and mismatches of mapped records.
 
     A read's gene is its gene tag; with velocity, a read without tag gets the one gene of its
@@ -153,13 +265,14 @@ def parse_reads(records: DataFrame, genes: DataFrame, transcripts: DataFrame | N
     and part (see decode_reads) in both tables.
     """
     kept = countable(records, umi_tag=umi_tag, barcode_tag=barcode_tag, gene_tag=gene_tag, barcodes=barcodes, velocity=velocity)
-    reads = decode_reads(kept, nasc=nasc)
+    reads = decode_reads(kept, nasc=nasc, paired=paired)
     tag = lambda t: F.try_element_at("tags", F.lit(t)) if t else F.lit(None).cast("string")
     reads = reads.withColumn("barcode", tag(barcode_tag)).withColumn("umi", tag(umi_tag)).withColumn("gx", F.nullif(tag(gene_tag), F.lit("")))
     reads = reads.withColumn("transcriptome", F.col("gx").isNotNull()).withColumn("strand", votes.read_strand(F.col("flag"), strand))
     key = ["read_id", "aln_index", "part"]
     if velocity and transcripts is not None:
-        placed = reads.withColumn("segments", intervals.segments_of(F.col("positions"))).withColumn("start", F.array_min("positions")).withColumn("end", F.array_max("positions") + 1)
+        # Decoded once, though the reads with and without a gene of their own part ways below.
+        placed = checkpointed(reads.withColumn("start", F.col("segments")[0]["start"]).withColumn("end", F.try_element_at("segments", F.lit(-1))["end"]).drop("tags"))
         tagged = placed.filter("gx is not null")
         free = placed.filter("gx is null").select(*key, "contig", "start", "end", "strand", "segments")
         near = intervals.containing_genes(free, genes).select(*key, "segments", F.col("gene").alias("gx"))
@@ -170,100 +283,127 @@ def parse_reads(records: DataFrame, genes: DataFrame, transcripts: DataFrame | N
         reads = placed.join(classes, key).drop("segments", "end")
     else:
         reads = reads.filter("gx is not null").withColumn("velocity", F.lit("unassigned"))
-    # Both tables come from reads that are decoded once.
+    # Both tables come from the same reads, with the same numbers.
     reads = checkpointed(reads.select(*key, "contig", "barcode", "umi", "gx", *BASE_COLUMNS, "velocity", "transcriptome", "score", "found"))
     alignments = reads.select("read_id", "aln_index", "barcode", "umi", "gx", *BASE_COLUMNS, "velocity", "transcriptome", "score", "part")
     found = reads.select(*key, "contig", F.explode("found").alias("f")).select("read_id", "aln_index", "contig", "f.genome_i", "f.conversion", "f.quality", "part")
     return alignments, found
 
 
-def read_positions(records: DataFrame) -> DataFrame:
-    """read_id, aln_index, contig and covered positions, mates as one; for coverage."""
-    return decode_reads(records).select("read_id", "aln_index", "contig", "positions")
+def read_positions(records: DataFrame, paired: bool | None = None) -> DataFrame:
+    """read_id, aln_index, contig and covered segments, mates as one; for coverage."""
+    return decode_reads(records, paired=paired).select("read_id", "aln_index", "contig", "segments")
 
 
-def consensus_read(start: int, columns: list[dict], quality: int = 27) -> dict:
-    """One read from the votes of a group: sequence, qualities, CIGAR, MD and number of mismatches.
+def consensus_read(position: np.ndarray, ref: list[str], sums: np.ndarray, quality: int = 27) -> tuple[int, str, list[int], str, str, int]:
+    """One read from the votes of a group: start, sequence, qualities, CIGAR, MD and number of mismatches.
 
-    columns: for each position from `start` on, the reference base (None where no read has one)
-    and the summed quality of each base read there (none: deleted).
+    position: sorted positions that any read covers; ref: the base of the reference at each; sums:
+    a column for each base, the summed quality with which it was read there (none: deleted).
+    Stretches that no read covers are gaps, however long.
     """
-    seq, quals, ops, md, run, mismatches, after_gap = [], [], [], [], 0, 0, False
-    for c in columns:
-        ref, sums = c["ref"], c["sums"]
-        if ref is None:
-            ops.append("N")
-            continue
-        if not any(sums.values()):
-            ops.append("D")
-            md.append(f"{run}^{ref}" if not after_gap else ref)
-            run, after_gap = 0, True
-            continue
-        best = max(sums.values())
-        tied = [b for b in BASES if sums.get(b, 0) == best]
-        base = ref if best < quality or ref in tied else tied[0]
-        ops.append("M")
-        seq.append(base)
-        quals.append(min(best, votes.MOST_QUALITY))
-        if base == ref:
-            run += 1
+    best = sums.max(axis=1)
+    known = np.array([BASES.index(r) if r in BASES else -1 for r in ref])
+    tied = sums == best[:, None]
+    base = np.where((best < quality) | ((known >= 0) & tied[np.arange(len(known)), known]), known, tied.argmax(axis=1))
+    there = best > 0
+    ops: list[list] = []
+    gaps = np.diff(position, prepend=position[0] - 1) - 1
+    edge = np.flatnonzero((gaps > 0) | (np.diff(there, prepend=~there[:1]) != 0))
+    for at, end in zip(edge, [*edge[1:], len(position)]):
+        if gaps[at]:
+            ops.append([int(gaps[at]), "N"])
+        ops.append([int(end - at), "M" if there[at] else "D"])
+    md, run, after_gap, last = [], 0, False, 0
+    differs = there & (base != known)
+    for at in np.flatnonzero(differs | ~there):
+        if at > last:
+            run, after_gap = run + int(at - last), False
+        last = at + 1
+        if there[at]:
+            md.append(f"{run}{ref[at]}")
+            run, after_gap = 0, False
         else:
-            md.append(f"{run}{ref}")
-            run, mismatches = 0, mismatches + 1
-        after_gap = False
-    md.append(str(run))
-    runs: list[list] = []
-    for op in ops:
-        if runs and runs[-1][1] == op:
-            runs[-1][0] += 1
-        else:
-            runs.append([1, op])
-    return {"start": start, "seq": "".join(seq), "quality": quals, "cigar": "".join(f"{n}{op}" for n, op in runs), "md": "".join(md), "mismatches": mismatches}
-
-
-_BASES_OUT = "array<struct<position:bigint,ref:string,base:string,quality:int>>"
-
-
-def base_votes(records: DataFrame) -> DataFrame:
-    """Every aligned base of every record as a row: the record's columns, position, ref, base
-    (null: deleted) and quality.  Bases of which either side is N and insertions are left out."""
-    own = records.withColumn("md_", F.coalesce(F.try_element_at("tags", F.lit("MD")), F.lit("")))
-
-    @F.pandas_udf(_BASES_OUT)
-    def bases(start: pd.Series, cigar: pd.Series, md: pd.Series, seq: pd.Series, quality: pd.Series) -> pd.Series:
-        out = []
-        for s, c, m, q, k in zip(start, cigar, md, seq, quality):
-            rows = [(p, ref, None if i is None else q[i].upper(), 0 if i is None else int(k[i])) for i, p, ref in aligned_pairs(s, c, m, q)]
-            out.append([dict(zip(("position", "ref", "base", "quality"), r)) for r in rows if r[1] != "N" and r[2] != "N"])
-        return pd.Series(out)
-
-    return own.withColumn("b_", F.explode(bases("start", "cigar", "md_", "seq", F.col("quality").cast("array<int>")))).select(*[c for c in records.columns if c not in ("seq", "quality", "cigar")], "b_.position", "b_.ref", "b_.base", F.col("b_.quality").alias("base_quality"))
+            md.append(ref[at] if after_gap else f"{run}^{ref[at]}")
+            run, after_gap = 0, True
+    md.append(str(run + len(position) - last))
+    seq = "".join(ref[i] if k < 0 else BASES[k] for i, k in enumerate(base) if there[i])
+    return int(position[0]), seq, np.minimum(best[there], votes.MOST_QUALITY).tolist(), "".join(f"{n}{op}" for n, op in ops), "".join(md), int(differs.sum())
+
+
+class _Votes:
+    """Every base of the records in the last column of a batch as a row."""
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, position, ref, base, qualities = [], [], [], [], []
+            for i, (record, quality) in enumerate(_records(batch.column(batch.num_columns - 1))):
+                where = [np.arange(p, p + n) + record.start for _, p, n in record.runs]
+                own = [quality[a : a + n] for a, _, n in record.runs]
+                lost = [np.arange(p, p + n) + record.start for p, n in record.gone]
+                size, gone = len(record.read), sum(map(len, lost))
+                row.append(np.full(size + gone, i))
+                position += [*where, *lost]
+                ref.append(record.reference + record.deleted[:gone])
+                base.append(record.read + "-" * gone)
+                qualities += [*own, np.zeros(gone, np.int32)]
+            letters = lambda parts: np.frombuffer("".join(parts).encode("ascii", "replace"), "S1")
+            join = lambda parts, kind: np.concatenate([np.empty(0, kind), *parts]).astype(kind)
+            r, b = letters(ref), letters(base)
+            keep = np.flatnonzero((r != b"N") & (b != b"N"))
+            text = lambda x, none=None: pa.array(x[keep].astype("U1"), pa.string(), mask=None if none is None else x[keep] == none)
+            kept = batch.select(range(batch.num_columns - 1)).take(pa.array(join(row, np.int64)[keep]))
+            new = [pa.array(join(position, np.int64)[keep]), text(r), text(b, b"-"), pa.array(join(qualities, np.int32)[keep])]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *new], names=[*kept.schema.names, "position", "ref", "base", "base_quality"])
+
+
+def base_votes(records: DataFrame, keys: list[str]) -> DataFrame:
+    """Every aligned base of every record as a row: keys, position, ref, base (null: deleted) and
+    base_quality.  Bases of which either side is N and insertions are left out."""
+    own = records.select(*keys, _aligned().alias("mate_"))
+    new = [T.StructField("position", T.LongType()), T.StructField("ref", T.StringType()), T.StructField("base", T.StringType()), T.StructField("base_quality", T.IntegerType())]
+    return own.mapInArrow(_Votes(), T.StructType([*own.schema.fields[:-1], *new]))
+
+
+_CALLED = [("start", T.LongType()), ("seq", T.StringType()), ("quality", T.ArrayType(T.IntegerType())), ("cigar", T.StringType()), ("md", T.StringType()), ("mismatches", T.IntegerType())]
+
+
+class _Call:
+    """The consensus read of the sorted votes in the last column of a batch."""
+
+    def __init__(self, quality: int) -> None:
+        self.quality = quality
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.string(), pa.string(), pa.int32()]
+        for batch in batches:
+            rows = batch.column(batch.num_columns - 1)
+            ends, flat = rows.offsets.to_numpy(), rows.values
+            position, ref = flat.field("position").to_numpy(), flat.field("ref").to_pylist()
+            sums = np.stack([flat.field(b).to_numpy() for b in BASES], axis=1) if len(flat) else np.empty((0, len(BASES)))
+            out = [consensus_read(position[a:b], ref[a:b], sums[a:b], self.quality) for a, b in zip(ends, ends[1:])]
+            new = [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], names=[*batch.schema.names[:-1], *[n for n, _ in _CALLED]])
 
 
 def call_consensus(records: DataFrame, genes: DataFrame, *, strand: str = "forward", quality: int = 27, names: bool = False) -> DataFrame:
     """One read for each molecule: gene, barcode and UMI (records with barcode, umi, gx columns).
 
-    Groups of one record pass unchanged in sequence.  Votes are summed by Spark for each position
-    first, so what a group gathers is one row for each position of its span.
+    Votes are summed by Spark for each position first, so what a group gathers is one row for each
+    position that any of its reads covers.  names: also the ids and HI tags of its reads, which
+    makes a row of a molecule as large as all its ids.
     """
     keys = ["contig", "gx", "barcode", "umi"]
-    facts = votes.group_facts(records.withColumn("score", F.coalesce(F.try_element_at("tags", F.lit("AS")).try_cast("int"), F.lit(0))).withColumn("end", F.col("start") + 1), keys)
-    each = base_votes(records.select("read_id", *keys, "start", "cigar", "seq", "quality", "tags"))
-    sums = each.groupBy(*keys, "position").agg(F.min("ref").alias("ref"), *[F.sum(F.when(F.col("base") == b, F.col("base_quality")).otherwise(0)).alias(b) for b in BASES])
+    own = records.withColumn("score", F.coalesce(F.try_element_at("tags", F.lit("AS")).try_cast("int"), F.lit(0))).withColumn("end", F.col("start") + 1)
+    facts = votes.group_facts(own.withColumn("hit", F.coalesce(F.try_element_at("tags", F.lit("HI")), F.lit("1"))), keys, names="hit" if names else None)
+    sums = base_votes(records, keys).groupBy(*keys, "position").agg(F.min("ref").alias("ref"), *[F.sum(F.when(F.col("base") == b, F.col("base_quality")).otherwise(0)).alias(b) for b in BASES])
     gathered = sums.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("position", "ref", *BASES))).alias("columns_"))
-
-    @F.pandas_udf("struct<start:bigint,seq:string,quality:array<int>,cigar:string,md:string,mismatches:int>")
-    def call(columns: pd.Series) -> pd.DataFrame:
-        out = []
-        for rows in columns:
-            at = {r["position"]: r for r in rows}
-            first, last = min(at), max(at)
-            full = [{"ref": at[p]["ref"], "sums": {b: at[p][b] for b in BASES}} if p in at else {"ref": None, "sums": {}} for p in range(first, last + 1)]
-            out.append(consensus_read(first, full, quality))
-        return pd.DataFrame(out)
-
-    called = gathered.select(*keys, call("columns_").alias("c")).select(*keys, "c.*")
+    called = gathered.mapInArrow(_Call(quality), T.StructType([*gathered.schema.fields[:-1], *[T.StructField(n, t) for n, t in _CALLED]]))
     known = genes.select("gx", F.col("strand").alias("gene_strand"), F.coalesce(F.nullif("gene_name", F.lit("")), "gx").alias("gn"))
-    joined = called.join(facts.select(*keys, "score", "n_reads", "name", *(["names"] if names else [])), keys).join(known, "gx", "left")
+    more = ["names", "hits"] if names else []
+    same = F.lit(True)
+    for k in keys:
+        same = same & called[k].eqNullSafe(facts[k])
+    joined = called.join(facts.select(*keys, "score", "n_reads", "name", *more), same).select(*[called[c] for c in called.columns], "score", "n_reads", "name", *more).join(known, "gx", "left")
     reverse = votes.consensus_strand(F.col("gene_strand"), strand) == "-"
     return joined.withColumn("flag", F.when(reverse, filters.REVERSE).otherwise(0)).drop("gene_strand")

@@ -1,4 +1,4 @@
-"""Consensus of reads position by position, and mates seen as one read."""
+"""Consensus of reads position by position."""
 
 from __future__ import annotations
 
@@ -32,19 +32,30 @@ def pseudo_umi(umi: Column, start: Column, end: Column) -> Column:
     return F.coalesce(umi, F.concat_ws("_", start.cast("string"), end.cast("string")))
 
 
-def group_facts(rows: DataFrame, keys: list[str], name: str = "read_id", start: str = "start", end: str = "end", score: str = "score") -> DataFrame:
-    """What a consensus read takes from its group: span, summed score, number and hash of names.
+def _digest(name: Column, first: int) -> Column:
+    """Sum over rows of 15 hex digits of the MD5 of a name."""
+    return F.sum(F.conv(F.substring(F.md5(name), first, 15), 16, 10).cast("decimal(38,0)")).cast("string")
 
-    Names are put together in order, so the hash is the same whatever order the rows come in.
+
+def group_facts(rows: DataFrame, keys: list[str], name: str = "read_id", start: str = "start", end: str = "end", score: str = "score", names: str | None = None) -> DataFrame:
+    """What a consensus read takes from its group: span, summed score, number and a hash of names.
+
+    The hash is made of sums over the hashes of the names, so it is the same whatever order the
+    rows come in and no group gathers its names.  names: a column; the ids of the reads (names)
+    and that column (hits), in one order and each with semicolons between, are wanted as well.
     """
-    return rows.groupBy(*keys).agg(
+    facts = [
         F.min(start).alias("start"),
         F.max(end).alias("end"),
         F.sum(score).alias("score"),
         F.count(F.lit(1)).alias("n_reads"),
-        F.sha2(F.array_join(F.array_sort(F.collect_list(name)), ""), 256).alias("name"),
-        F.array_join(F.array_sort(F.collect_set(name)), ";").alias("names"),
-    )
+        F.sha2(F.concat_ws("/", _digest(F.col(name), 1), _digest(F.col(name), 16), F.count(F.lit(1)).cast("string")), 256).alias("name"),
+    ]
+    if names is None:
+        return rows.groupBy(*keys).agg(*facts)
+    each = F.array_sort(F.collect_list(F.struct(F.col(name).alias("n"), F.col(names).alias("h"))))
+    out = rows.groupBy(*keys).agg(*facts, each.alias("each_"))
+    return out.withColumn("names", F.array_join("each_.n", ";")).withColumn("hits", F.array_join("each_.h", ";")).drop("each_")
 
 
 def consensus_strand(gene_strand: Column, protocol: str) -> Column:
@@ -62,19 +73,3 @@ def read_strand(flag: Column, protocol: str) -> Column:
     if protocol == "reverse":
         turned = ~turned
     return F.when(turned, "-").otherwise("+")
-
-
-def merge_mates(first: DataFrame, second: DataFrame, key: list[str], overlap: DataFrame | None = None, nasc: bool = False) -> DataFrame:
-    """Mismatches of pairs: those of the later mate, and of the earlier one where its quality is
-    higher or the later mate does not reach.
-
-    first, second: key, contig, genome_i, conversion, quality, one row for each mismatch.  overlap:
-    key, contig, genome_i, quality of all positions of the later mate; without it only positions
-    of its mismatches count as reached.  nasc: nothing of the earlier mate counts where they overlap.
-    """
-    at = [*key, "contig", "genome_i"]
-    reached = (overlap if overlap is not None else second).select(*at, F.col("quality").alias("q2_")).withColumn("there_", F.lit(True))
-    own = first.join(reached, at, "left")
-    wins = F.lit(False) if nasc else F.coalesce(F.col("quality") > F.col("q2_"), F.lit(False))
-    early = own.filter(F.col("there_").isNull() | wins).select(*at, "conversion", "quality")
-    return early.unionByName(second.join(early, at, "left_anti").select(*at, "conversion", "quality"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from labelmill.functions.sequences import QUALITY
 from labelmill.operators import filters, intervals, votes
-from labelmill.operators.reads import aligned_pairs, call_consensus  # noqa: F401
+from labelmill.operators.reads import call_consensus
 
 
 def consensus(records: DataFrame, genes: DataFrame, *, strand: str = "forward", umi_tag: str | None = None, barcode_tag: str | None = None, gene_tag: str | None = "GX", barcodes: DataFrame | None = None, quality: int = QUALITY, names: bool = False) -> DataFrame:
@@ -38,7 +38,7 @@ def consensus(records: DataFrame, genes: DataFrame, *, strand: str = "forward",
     if umi_tag:
         pairs.append((umi_tag, F.col("umi")))
     if names:
-        pairs.append(("RS", F.col("names")))
+        pairs += [("RS", F.col("names")), ("RI", F.col("hits"))]
     tags = F.map_filter(F.create_map(*[x for k, v in pairs for x in (F.lit(k), v)]), lambda k, v: v.isNotNull())
     out = called.select(F.col("name").alias("read_id"), "flag", "contig", "start", F.lit(255).alias("mapq"), "cigar", "seq", "quality", tags.alias("tags"))
     single = placed.filter("n_ is null or n_ = 1").join(genes.select("gx", F.coalesce(F.nullif("gene_name", F.lit("")), "gx").alias("gn")), "gx", "left")

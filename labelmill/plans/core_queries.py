@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from labelmill.functions.sequences import BASE_COLUMNS, BASES, CONVERSIONS, N_COLUMNS, base_col, complement, complement_of, content, n_col, total
 from labelmill.functions.stats import beta_mean, beta_mode, binomial_pmf_col, clip, guess_beta
 from labelmill.functions.storage import scratch_folder, table
-from labelmill.operators import counting, filters, intervals, matrix, rates, reads, sample, votes
+from labelmill.operators import counting, filters, intervals, matrix, rates, sample, votes
 from labelmill.streaming import counts as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -248,11 +248,6 @@ def duplicate_key_check(t: Tables) -> DataFrame:
     return filters.repeated_keys(t.alignments, ["read_id", "aln_index"])
 
 
-@query("SELECT DISTINCT event_type FROM events")
-def scan_tags_distinct(t: Tables) -> DataFrame:
-    return t.events.select("event_type").distinct()
-
-
 _HIST = "SELECT barcode, gx, n_tc AS conversion, base_t AS base, count(*) AS count FROM counts_tc GROUP BY ALL"
 
 
@@ -512,23 +507,16 @@ def consensus_base(t: Tables) -> DataFrame:
 _PLACED = f"SELECT a.barcode, coalesce(a.umi, CAST(r.start AS VARCHAR) || '_' || CAST(r.\"end\" AS VARCHAR)) AS umi, a.gx, a.read_id, a.score, r.contig, r.start, r.\"end\" FROM alignments a JOIN ({_SPANS}) r ON a.read_id = r.read_id AND a.aln_index = r.aln_index"
 
 
-@query(f"""SELECT barcode, umi, gx, contig, min(start) AS start, max("end") AS "end", CAST(sum(score) AS BIGINT) AS score, count(*) AS n_reads, sha256(string_agg(read_id, '' ORDER BY read_id)) AS name,
-    string_agg(DISTINCT read_id, ';' ORDER BY read_id) AS names FROM ({_PLACED}) GROUP BY ALL""")
+def _digest(first: int) -> str:
+    return f"CAST(sum(CAST(('0x' || substr(md5(read_id), {first}, 15)) AS BIGINT)::DECIMAL(38, 0)) AS DECIMAL(38, 0))"
+
+
+@query(f"""SELECT barcode, umi, gx, contig, min(start) AS start, max("end") AS "end", CAST(sum(score) AS BIGINT) AS score, count(*) AS n_reads, sha256(concat_ws('/', {_digest(1)}, {_digest(16)}, count(*))) AS name FROM ({_PLACED}) GROUP BY ALL""")
 def consensus_groups(t: Tables) -> DataFrame:
     placed = t.alignments.select("read_id", "aln_index", "barcode", "umi", "gx", "score").join(t.spans().drop("strand"), ["read_id", "aln_index"])
     return votes.group_facts(placed.withColumn("umi", votes.pseudo_umi(F.col("umi"), F.col("start"), F.col("end"))), ["barcode", "umi", "gx", "contig"])
 
 
-@query(f"""WITH u AS (SELECT read_id, aln_index, contig, genome_i, max(conversion) AS conversion, max(quality) AS quality FROM conversions WHERE contig IS NOT NULL AND genome_i IS NOT NULL AND quality IS NOT NULL GROUP BY ALL),
-    a AS (SELECT * FROM u WHERE aln_index = 1), b AS (SELECT * FROM u WHERE aln_index = 2)
-    SELECT coalesce(b.read_id, a.read_id) AS read_id, coalesce(b.contig, a.contig) AS contig, coalesce(b.genome_i, a.genome_i) AS genome_i,
-    CASE WHEN b.read_id IS NULL OR a.quality > b.quality THEN a.conversion ELSE b.conversion END AS conversion, CASE WHEN b.read_id IS NULL OR a.quality > b.quality THEN a.quality ELSE b.quality END AS quality
-    FROM a FULL JOIN b ON a.read_id = b.read_id AND a.contig = b.contig AND a.genome_i = b.genome_i""")
-def mate_pairing(t: Tables) -> DataFrame:
-    unique = t.conversions.dropna(subset=["contig", "genome_i", "quality"]).groupBy("read_id", "aln_index", "contig", "genome_i").agg(F.max("conversion").alias("conversion"), F.max("quality").alias("quality"))
-    return votes.merge_mates(unique.filter("aln_index = 1"), unique.filter("aln_index = 2"), ["read_id"])
-
-
 # ---- sampling and matrices
 
 
@@ -614,29 +602,7 @@ def base_content(t: Tables) -> DataFrame:
     return rates.base_content(t.counts_tc, ["velocity"])
 
 
-# ---- records and streams
-
-
-def _records(t: Tables) -> DataFrame:
-    """Alignment records of one base, one for each mismatch."""
-    known = t.mismatches().dropna(subset=["contig", "genome_i", "quality"])
-    name = F.concat_ws("/", "read_id", "aln_index", "contig", "genome_i", "conversion")
-    ref, alt = F.substring("conversion", 1, 1), F.substring("conversion", 2, 1)
-    return known.select(name.alias("read_id"), F.lit(0).alias("flag"), "contig", F.col("genome_i").alias("start"), F.lit("1M").alias("cigar"), alt.alias("seq"), F.array("quality").alias("quality"), F.create_map(F.lit("MD"), F.concat(F.lit("0"), ref, F.lit("0"))).alias("tags"))
-
-
-_NAMED = f"SELECT read_id || '/' || CAST(aln_index AS VARCHAR) || '/' || contig || '/' || CAST(genome_i AS VARCHAR) || '/' || conversion AS read_id, contig, genome_i, conversion, quality FROM ({_M}) WHERE contig IS NOT NULL AND genome_i IS NOT NULL AND quality IS NOT NULL"
-
-
-@query(f"SELECT read_id, {', '.join(f"CASE WHEN conversion[1] = '{b}' THEN 1 ELSE 0 END AS {base_col(b)}" for b in BASES)}, contig, genome_i, conversion, quality FROM ({_NAMED})")
-def decoded_mismatches(t: Tables) -> DataFrame:
-    decoded = reads.decode_reads(_records(t))
-    return decoded.select("read_id", *BASE_COLUMNS, "contig", F.explode("found").alias("f")).select("read_id", *BASE_COLUMNS, "contig", "f.genome_i", "f.conversion", "f.quality")
-
-
-@query(f"SELECT contig, genome_i, count(*) AS coverage FROM ({_NAMED}) GROUP BY ALL")
-def coverage_from_records(t: Tables) -> DataFrame:
-    return rates.coverage_of(reads.read_positions(_records(t)))
+# ---- streams
 
 
 @query(_SPLIT)

@@ -58,7 +58,7 @@ def count_tables(alignments: DataFrame, conversions: DataFrame, genes: DataFrame
     return out
 
 
-def count(records: DataFrame, genes: DataFrame, transcripts: DataFrame | None, labels: list[list[str]], *, strand: str = "forward", umi_tag: str | None = None, barcode_tag: str | None = None, gene_tag: str = "GX", barcodes: DataFrame | None = None, control: bool = False, quality: int = QUALITY, snp_threshold: float | None = None, snp_min_coverage: int = 1, known_snps: DataFrame | None = None, velocity: bool = True, strict: bool = True, mode: str = "auto", tags: list[str] = (), by_name: bool = False, nasc: bool = False) -> CountResult:
+def count(records: DataFrame, genes: DataFrame, transcripts: DataFrame | None, labels: list[list[str]], *, strand: str = "forward", umi_tag: str | None = None, barcode_tag: str | None = None, gene_tag: str = "GX", barcodes: DataFrame | None = None, control: bool = False, quality: int = QUALITY, snp_threshold: float | None = None, snp_min_coverage: int = 1, known_snps: DataFrame | None = None, velocity: bool = True, strict: bool = True, mode: str = "auto", tags: list[str] = (), by_name: bool = False, nasc: bool = False, paired: bool | None = None) -> CountResult:
     """The whole way from records.  labels: conversions of each labeling, for instance [["TC"]]."""
     if not 0 <= quality <= 41:
         raise ValueError("the quality is between 0 and 41")
@@ -69,7 +69,7 @@ def count(records: DataFrame, genes: DataFrame, transcripts: DataFrame | None, l
         raise ValueError("nasc takes TC only")
     if barcodes is not None and not barcode_tag:
         raise ValueError("a list of barcodes needs a barcode tag")
-    alignments, conversions = parse_reads(records, genes, transcripts, strand=strand, umi_tag=umi_tag, barcode_tag=barcode_tag, gene_tag=gene_tag, barcodes=barcodes, nasc=nasc, velocity=velocity, strict=strict)
+    alignments, conversions = parse_reads(records, genes, transcripts, strand=strand, umi_tag=umi_tag, barcode_tag=barcode_tag, gene_tag=gene_tag, barcodes=barcodes, nasc=nasc, velocity=velocity, strict=strict, paired=paired)
     snps, coverage = known_snps, None
     if snp_threshold is not None:
         selected = counting.select_alignments(alignments, umis=umi_tag is not None)
@@ -77,7 +77,7 @@ def count(records: DataFrame, genes: DataFrame, transcripts: DataFrame | None, l
         sites = rates.conversion_sites(theirs, every, quality)
         wanted = theirs.filter(F.col("conversion").isin(with_complements(every)))
         kept = countable(records, umi_tag=umi_tag, barcode_tag=barcode_tag, gene_tag=gene_tag, barcodes=barcodes, velocity=velocity)
-        coverage = rates.coverage_of(counting.only_selected(read_positions(kept), selected), at=wanted)
+        coverage = rates.coverage_of_segments(counting.only_selected(read_positions(kept, paired), selected), at=wanted)
         found = rates.detect_snps(sites, coverage, snp_threshold, snp_min_coverage)
         snps = found if known_snps is None else rates.union_snps(found, known_snps)
     out = count_tables(alignments, conversions, genes, labels, umis=umi_tag is not None, mode=dedup_mode(mode, list(tags)), snps=snps, quality=quality, control=control, by_name=by_name, nasc=nasc)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import collections
+import random
 import struct
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from labelmill.operators import counting
-from labelmill.operators.reads import _decode, aligned_pairs, decode_reads, merge_pair, parse_reads
+from labelmill.operators.reads import Record, consensus_read, decode_reads, merge_pair, parse_reads
 from labelmill.plans.consensus import consensus
 from labelmill.plans.count import count
 from labelmill.sources import sam
@@ -22,24 +25,102 @@ def record(name, start, cigar, seq, quality, md, flag=0, contig="1", **tags):
     return (name, flag, contig, start, 255, cigar, seq, quality if isinstance(quality, list) else [quality] * len(seq), {"MD": md} | tags)
 
 
-def test_aligned_pairs_walks_insertions_deletions_and_gaps():
-    got = list(aligned_pairs(10, "1S2M1I1M1D2N1M", "1A1^C1", "NACGTT"))
-    assert got == [(1, 10, "A"), (2, 11, "A"), (4, 12, "T"), (None, 13, "C"), (5, 16, "T")]
-
-
-@pytest.mark.parametrize("nasc,kept", [(False, {2: ("A", "T", 30), 3: ("A", "G", 20), 5: ("A", "C", 30)}), (True, {3: ("A", "G", 20), 5: ("A", "C", 30)})])
-def test_mates_in_their_overlap(nasc, kept):
-    first = _decode(0, "4M", "2A0A0", "AATC", [30, 30, 30, 10], True)
-    second = _decode(2, "4M", "1A1A0", "AGAC", [20, 20, 20, 30], True)
-    content, found, positions = merge_pair(first, second, nasc)
-    assert found == kept
-    assert positions == [0, 1, 2, 3, 4, 5] and content["A"] == 6
-
-
-def test_a_mismatch_beside_an_uncalled_base_of_the_later_mate_stays():
-    first, second = _decode(0, "2M", "1A0", "AT", [30, 30], True), _decode(1, "2M", "2", "NA", [30, 30], True)
-    assert merge_pair(first, second)[1] == {1: ("A", "T", 30)}
-    assert merge_pair(first, second, nasc=True)[1] == {}
+# ---- decoding against a walk base by base
+
+
+def walk(start, ops, seq, reference, lost):
+    """(place in the read or None, position, base of the reference): reference has the bases of the
+    aligned places, lost those of the deleted ones."""
+    out, i, p, ref, gone = [], 0, start, iter(reference), iter(lost)
+    for n, op in ops:
+        for _ in range(n):
+            if op == "M":
+                out.append((i, p, next(ref)))
+            elif op == "D":
+                out.append((None, p, next(gone)))
+            i, p = i + (op in "MIS"), p + (op in "MDN")
+    return out
+
+
+def random_record(rng, start):
+    """ops, sequence, qualities, MD, and the walk."""
+    ops = [(rng.randint(1, 6), "M")]
+    for _ in range(rng.randrange(4)):
+        ops += [(rng.randint(1, 4), rng.choice("IDN")), (rng.randint(1, 6), "M")]
+    ops = [(2, "S")] * rng.randrange(2) + ops + [(1, "S")] * rng.randrange(2)
+    seq = "".join(rng.choices("ACGTN", [5, 5, 5, 5, 1], k=sum(n for n, op in ops if op in "MIS")))
+    md, run, reference, lost, i = "", 0, "", "", 0
+    for n, op in ops:
+        if op == "M":
+            for b in seq[i : i + n]:
+                r = rng.choice("ACGT") if rng.random() < 0.2 else b
+                reference += r
+                md, run = (md, run + 1) if r == b else (f"{md}{run}{r}", 0)
+        elif op == "D":
+            own = "".join(rng.choices("ACGT", k=n))
+            md, run, lost = f"{md}{run}^{own}", 0, lost + own
+        i += n if op in "MIS" else 0
+    quality = [rng.randint(0, 40) for _ in seq]
+    return "".join(f"{n}{op}" for n, op in ops), seq, quality, f"{md}{run}", walk(start, ops, seq, reference, lost)
+
+
+def facts_of(pairs, seq, quality):
+    content, called, positions = collections.Counter(), {}, []
+    for i, p, ref in pairs:
+        content[ref] += 1
+        if i is not None:
+            positions.append(p)
+            if ref != "N" and seq[i] != "N":
+                called[p] = (ref, seq[i], quality[i])
+    return content, called, positions
+
+
+def spread(segments):
+    return [p for a, b in segments for p in range(a, b)]
+
+
+def test_records_are_decoded_as_base_by_base():
+    rng = random.Random(7)
+    for _ in range(400):
+        start = rng.randrange(50)
+        cigar, seq, quality, md, pairs = random_record(rng, start)
+        record = Record(start, cigar, md, seq)
+        content, called, positions = facts_of(pairs, seq, quality)
+        assert record.content(True) == [content[b] for b in "ACGT"]
+        assert record.mismatches(np.array(quality)) == {p: x for p, x in called.items() if x[0] != x[1]}
+        assert spread(record.segments()) == positions and all(a[1] < b[0] for a, b in zip(record.segments(), record.segments()[1:]))
+
+
+@pytest.mark.parametrize("nasc", [False, True])
+def test_mates_are_merged_as_base_by_base(nasc):
+    rng = random.Random(8)
+    for _ in range(400):
+        starts = sorted(rng.randrange(12) for _ in range(2))
+        (c1, s1, q1, m1, w1), (c2, s2, q2, m2, w2) = (random_record(rng, x) for x in starts)
+        content1, called1, positions1 = facts_of(w1, s1, q1)
+        content2, called2, positions2 = facts_of(w2, s2, q2)
+        want = content1 + content2
+        want.subtract(ref for p, (ref, _, _) in called1.items() if p in positions2)
+        found = {p: x for p, x in called2.items() if x[0] != x[1]}
+        for p, x in called1.items():
+            if x[0] != x[1] and (p not in positions2 or (not nasc and (p not in called2 or x[2] > called2[p][2]))):
+                found[p] = x
+        got = merge_pair(Record(starts[0], c1, m1, s1), np.array(q1), Record(starts[1], c2, m2, s2), np.array(q2), nasc=nasc)
+        assert got[0] == [want[b] for b in "ACGT"] and got[1] == found and spread(got[2]) == sorted({*positions1, *positions2})
+
+
+def test_records_with_missing_parts():
+    nothing = Record(3, None, "", None)
+    assert nothing.segments() == [] and nothing.content(True) == [0] * 4 and nothing.mismatches(np.empty(0)) == {}
+    assert Record(0, "2M2D1M", "", "ACG").content(True) == [1, 1, 1, 0]  # what is deleted is unknown without MD
+    assert Record(0, "2M", "5A", "ac").content(False) == [1, 1, 0, 0]
+
+
+def test_consensus_of_votes_with_a_wide_gap():
+    position = np.array([5, 6, 7, 3_000_000, 3_000_001])
+    sums = np.array([[60, 0, 0, 0], [0, 0, 30, 30], [0, 0, 0, 0], [0, 0, 0, 0], [10, 0, 0, 0]])
+    assert consensus_read(position, ["A", "T", "C", "G", "T"], sums) == (5, "ATT", [42, 30, 10], "2M1D2999992N1D1M", "2^CG1", 0)
+    assert consensus_read(position[:2], ["C", "A"], sums[:2]) == (5, "AG", [42, 30], "2M", "0C0A0", 2)
 
 
 @pytest.fixture
@@ -89,7 +170,7 @@ def test_repeats_and_supplementary_records_stay(spark, genes):
         *[record("apart", 1, "1M", "A", 30, "1", contig=c, UB="u5", **paired[0], **own) for c in "12"],
     ]
     records = spark.createDataFrame(rows, RECORDS).repartition(3)
-    got = sorted((r["read_id"], r["positions"], [tuple(f) for f in r["found"]]) for r in decode_reads(records).collect())
+    got = sorted((r["read_id"], spread(r["segments"]), [tuple(f) for f in r["found"]]) for r in decode_reads(records).collect())
     assert got == [
         ("chimera", [2, 3], [(2, "TC", 30)]),
         ("chimera", [9, 10, 11], [(11, "AG", 30)]),
