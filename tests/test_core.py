@@ -429,3 +429,30 @@ def test_streamed_matrix_equals_the_batch(spark, tmp_path):
     assert [r["n"] for r in spark.table("w").collect()] == [10] * 5  # the last window is still open
     streaming.run_once(streaming.unique_rows(streaming.read_stream(spark, str(folder), df.schema), ["barcode"], "at", "1 hour"), "u", "append", str(tmp_path / "c3"))
     assert spark.table("u").count() == 3
+
+
+# ---- storage
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from labelmill.functions import storage
+
+    def session(master, named=None):
+        done = []
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=done.append)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: named), done=done)
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            storage.use_checkpoints(session(master))
+        named = session(master, "/shared")
+        storage.use_checkpoints(named)
+        assert named.done == ["/shared"]
+
+
+def test_scratch_folders_are_apart(spark):
+    from labelmill.functions.storage import scratch_folder
+
+    assert len({scratch_folder(spark, "x") for _ in range(3)}) == 3
