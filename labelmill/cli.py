@@ -162,6 +162,8 @@ def run_consensus(spark: SparkSession, a, error) -> None:
     known = tables.read_list(spark, a.barcodes) if a.barcodes else None
     out = consensus(sam.read_records(spark, a.bam), genes, strand=_strand(a, error), umi_tag=a.umi_tag, barcode_tag=a.barcode_tag, gene_tag=a.gene_tag, barcodes=known, quality=a.quality, names=a.names)
     out.write.mode("overwrite").parquet(f"{a.o}/consensus")
+    header = [*sam.header_lines(sam.read_header(a.bam)), "@PG\tID:labelmill\tPN:labelmill\tCL:" + " ".join(sys.argv)]
+    sam.write_sam(spark.read.parquet(f"{a.o}/consensus"), f"{a.o}/consensus.sam", header)
 
 
 def run_count(spark: SparkSession, a, error) -> None:
@@ -176,7 +178,8 @@ def run_count(spark: SparkSession, a, error) -> None:
     tags = sam.tag_names(records)
     if missing := sorted({t for t in (a.umi_tag, a.barcode_tag) if t} - set(tags)):
         error(f"tags not in the file: {', '.join(missing)}")
-    out = count(records, genes, transcripts, labels, strand=_strand(a, error), umi_tag=a.umi_tag, barcode_tag=a.barcode_tag, gene_tag=a.gene_tag, barcodes=barcodes, control=a.control, quality=a.quality, snp_threshold=a.snp_threshold, snp_min_coverage=a.snp_min_coverage, known_snps=known, velocity=not a.no_splicing, strict=a.exon_overlap == "strict", mode=a.dedup_mode, tags=tags, by_name=a.gene_names, nasc=a.nasc)
+    paired = sam.file_facts(records)["paired"]
+    out = count(records, genes, transcripts, labels, strand=_strand(a, error), umi_tag=a.umi_tag, barcode_tag=a.barcode_tag, gene_tag=a.gene_tag, barcodes=barcodes, control=a.control, quality=a.quality, snp_threshold=a.snp_threshold, snp_min_coverage=a.snp_min_coverage, known_snps=known, velocity=not a.no_splicing, strict=a.exon_overlap == "strict", mode=a.dedup_mode, tags=tags, by_name=a.gene_names, nasc=a.nasc, paired=None if paired else False)
     mode = "overwrite" if a.overwrite else "errorifexists"
     write = lambda df, name: df.write.mode(mode).parquet(f"{a.o}/{name}")
     for name, df in (("alignments", out.alignments), ("conversions", out.conversions), ("counts", out.counts), ("genes", genes), ("coverage", out.coverage), ("snps", out.snps)):

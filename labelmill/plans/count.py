@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from labelmill.functions.sequences import QUALITY, UNUSABLE_VELOCITY, with_complements
+from labelmill.functions.storage import checkpointed
 from labelmill.operators import counting, filters, matrix, rates
 from labelmill.operators.reads import countable, parse_reads, read_positions
 
@@ -45,6 +46,8 @@ def count_tables(alignments: DataFrame, conversions: DataFrame, genes: DataFrame
         own = counting.deduplicate_counts(stranded, every, mode == "conversion")
     else:
         own = counting.drop_multimappers(counting.complement_counts(counted, genes), every)
+    # Counts, four tables of rates and the layers are all made of these rows.
+    own = checkpointed(own)
     forward = counting.complement_counts(own, genes)  # undone
     out = CountResult(alignments, conversions, forward, snps)
     base = forward if nasc else own

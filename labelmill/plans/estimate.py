@@ -62,6 +62,8 @@ def estimate(inputs: list[DataFrame], genes: DataFrame, labels: list[list[str]],
     if downsample_count is not None or downsample_share is not None:
         key = [c for c in counts.columns if c not in ("group",)]
         counts = sample.downsample(counts, key, count=downsample_count, proportion=downsample_share, by=[downsample_by] if downsample_by else None, seed=seed)
+    # Facts, rates, histograms of all read groups and labels, and the layers are made of these rows.
+    counts = checkpointed(counts)
     facts = filters.table_facts(counts.withColumns({c: F.lit(None).cast("string") for c in ("umi",) if c not in counts.columns})).collect()[0]
     chosen = choose_read_groups(facts, reads)
     forward, counts = counts, counting.complement_counts(counts, genes)

@@ -12,6 +12,8 @@ import struct
 import zlib
 from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
 
@@ -111,6 +113,12 @@ def read_header(path: str) -> list[str]:
         return lines
 
 
+def header_lines(lines: list[str]) -> list[str]:
+    """Header lines for records that were sorted anew."""
+    kept = [x for x in lines if not x.startswith("@HD")]
+    return ["@HD\tVN:1.6\tSO:coordinate", *kept]
+
+
 def _tags(data: bytes) -> dict[str, str]:
     out, i = {}, 0
     while i + 3 <= len(data):
@@ -257,6 +265,19 @@ def file_facts(records: DataFrame) -> dict[str, bool]:
     return records.agg(bit(0x1).alias("paired"), bit(0x100).alias("secondary"), bit(0x400).alias("duplicate"), bit(0x4).alias("unmapped")).collect()[0].asDict()
 
 
+def write_sam(records: DataFrame, path: str, header: list[str]) -> None:
+    """Records as SAM text in order of place: a folder of parts, of which the first has the header;
+    put together in the order of their names they are one file."""
+    lines = sam_lines(sorted_records(records))
+
+    def headed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = [pa.array(header)] if TaskContext.get().partitionId() == 0 and header else []
+        for column in [*own, *(p.column(0) for p in parts)]:
+            yield pa.RecordBatch.from_arrays([column], names=["value"])
+
+    lines.mapInArrow(headed, "value string").write.mode("overwrite").text(path)
+
+
 def sorted_records(records: DataFrame) -> DataFrame:
     """Records by contig and place, over all partitions."""
     return records.orderBy("contig", "start", "read_id", "flag")

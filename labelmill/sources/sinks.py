@@ -16,8 +16,9 @@ from labelmill import __version__
 def write_matrix(layers: DataFrame, folder: str, gene: str = "gx") -> None:
     """layers (layer, barcode, gene, value) as parquet, one folder a layer, with the sorted axes."""
     layers.write.mode("overwrite").partitionBy("layer").parquet(f"{folder}/layers")
+    written = layers.sparkSession.read.schema(layers.schema).parquet(f"{folder}/layers")
     for name in ("barcode", gene):
-        layers.select(name).distinct().orderBy(name).write.mode("overwrite").csv(f"{folder}/{name}")
+        written.select(name).distinct().orderBy(name).write.mode("overwrite").csv(f"{folder}/{name}")
 
 
 def with_places(keys: DataFrame, name: str, place: str) -> DataFrame:

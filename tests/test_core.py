@@ -275,6 +275,73 @@ def test_queries_fit_every_cell_and_gene_and_all_read_groups(spark, tmp_path):
         assert {n for n in names if n.endswith("_est")} == {f"{n}TC_est" for pair in matrix.LABEL_LAYERS.values() for n in pair}
 
 
+def test_rates_that_differ_within_a_group_are_refused(spark):
+    hist = spark.createDataFrame([("a", "g", 1, 20, 30), ("a", "h", 0, 20, 30), ("b", "g", 0, 21, 40)], tables.HISTOGRAM)
+    by_gene = spark.createDataFrame([("g", 0.01), ("h", 0.02)], "gx string, p_e double")
+    two = spark.createDataFrame([(0.01,), (0.02,)], "p_e double")
+    p_c = spark.createDataFrame([("a", 0.2), ("b", 0.2)], "barcode string, p_c double")
+    with pytest.raises(Exception, match="p_e differs"):
+        estimators.fit_induced(hist, by_gene, ["barcode"], 1, p_e_by=["gx"]).collect()
+    with pytest.raises(Exception, match="one p_e is wanted"):
+        estimators.fit_share(hist, two, p_c, ["barcode"], ["barcode"], 1).collect()
+    one = estimators.fit_share(hist, two.limit(1), p_c, ["barcode"], ["barcode"], 1).collect()
+    assert len(one) == 2 and all(0 < r["pi"] < 1 for r in one)
+
+
+def test_fits_of_many_groups_are_those_of_each():
+    parts = [simulated(0.002, p_c, 0.4, 500, seed=i) for i, p_c in enumerate((0.05, 0.1, 0.2, 0.3))]
+    group = np.concatenate([np.full(len(p[0]), i) for i, p in enumerate(parts)])
+    k, n, count = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    background = [0.002, 0.001, 0.003, 0.9]
+    many, pairs = estimators.induced_rates(group, k, n, count, background), estimators.induced_rates_nasc(group, k, n, count, background)
+    for i, p in enumerate(parts):
+        alone = estimators.induced_rate(*p, background[i])
+        assert (alone is None and np.isnan(many[i])) or alone == pytest.approx(many[i], rel=1e-12)
+        assert estimators.induced_rate_nasc(*p, background[i]) == pytest.approx(pairs[i], abs=1e-12)
+    assert np.isnan(many[3])
+
+
+def test_expectation_maximisation_against_a_plain_one():
+    """The same steps written out cell by cell."""
+    from math import comb
+
+    k, n, count = simulated(0.002, 0.1, 0.4, 3000, seed=5)
+    table = {(int(a), int(b)): float(c) for a, b, c in zip(k, n, count)}
+    most, bases = max(k), sorted(set(map(int, n)))
+    pmf = lambda i, m, p: comb(m, i) * p**i * (1 - p) ** (m - i)
+    cells = [(i, m) for m in bases for i in range(most + 1)]
+    missing = {(i, m) for i, m in cells if pmf(i, m, 0.002) * sum(table.get((j, m), 0) for j in range(i, most + 1)) > 0.01 * table.get((i, m), 0)}
+    p = 0.1
+    for _ in range(300):
+        filled = dict(table)
+        for m in bases:
+            known = sum(pmf(i, m, p) for i in range(most + 1) if (i, m) not in missing)
+            seen = sum(table.get((i, m), 0) for i in range(most + 1) if (i, m) not in missing)
+            for i in range(most + 1):
+                if (i, m) in missing and known > 0:
+                    filled[i, m] = pmf(i, m, p) * seen / known
+        p = sum(i * filled.get((i, m), 0) for i, m in cells) / sum(m * filled.get((i, m), 0) for i, m in cells)
+    assert estimators.induced_rate(k, n, count, 0.002) == pytest.approx(p, rel=1e-9)
+
+
+@pytest.mark.parametrize("reads", [17, 400, 60_000])
+def test_shares_against_a_dense_integral(reads):
+    from math import lgamma
+
+    k, n, count = simulated(0.003, 0.08, 0.45, reads, seed=1)
+    logit = np.arange(-90, 90, 1 / 1024)
+    old, new = -np.logaddexp(0, logit), -np.logaddexp(0, -logit)
+    odds = k * np.log(0.08 / 0.003) + (n - k) * (np.log1p(-0.08) - np.log1p(-0.003))
+    fit = sum(c * np.logaddexp(old, new + o) for o, c in zip(odds, count))
+    x, w = np.polynomial.legendre.leggauss(24)
+    prior = np.zeros_like(logit)
+    for a, u in zip(np.exp(3 * x), w):
+        for b, v in zip(np.exp(3 * x), w):
+            prior += u * v * np.exp(a * new + b * old - lgamma(a) - lgamma(b) + lgamma(a + b))
+    mass = np.exp(fit - fit.max()) * prior
+    assert estimators.new_share(k, n, count, 0.003, 0.08)[2] == pytest.approx((mass * np.exp(new)).sum() / mass.sum(), abs=2e-4)
+
+
 def test_background_skips_rates_without_bases(spark):
     row = list(count_row("a", ac=1))
     row[COUNTS.split(", ").index("base_g int")] = 0
@@ -378,6 +445,14 @@ def test_command_line_from_records_to_estimates(spark, tmp_path):
     assert cli.main(["estimate", "-o", str(tmp_path / "control"), "--control", out]) == 0
     assert cli.main(["consensus", "-g", gtf, "-o", con, "--umi-tag", "UB", "--barcode-tag", "CB", bam]) == 0
     assert spark.read.parquet(f"{con}/consensus").count() == 400
+    parts = sorted(x for x in os.listdir(f"{con}/consensus.sam") if x.startswith("part"))
+    text = "".join(open(f"{con}/consensus.sam/{x}").read() for x in parts).splitlines()
+    assert text[0] == "@HD\tVN:1.6\tSO:coordinate" and text[1].startswith("@PG\tID:a")
+    places = [int(x.split("\t")[3]) for x in text if not x.startswith("@")]
+    assert len(places) == 400 and places == sorted(places) and sum(x.startswith("@") for x in text) == 3
+    from labelmill.sources.sam import read_sam
+
+    assert read_sam(spark, f"{con}/consensus.sam").count() == 400
     for bad in (["count", "-g", gtf, "--conversion", "TC,TC", bam], ["count", "-g", gtf, "--conversion", "XX", bam], ["count", "-g", gtf, "--quality", "42", "--conversion", "TC", bam]):
         with pytest.raises(SystemExit):
             cli.main(bad)
