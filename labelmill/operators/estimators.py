@@ -12,7 +12,7 @@ from math import lgamma
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from labelmill.functions.stats import log_factorial
 
@@ -215,13 +215,21 @@ def _one_value(t: DataFrame, value: str) -> DataFrame:
     return t.agg(F.when(n == 1, F.max(value)).otherwise(F.raise_error(F.concat(F.lit(f"one {value} is wanted, not "), n.cast("string")))).cast("double").alias(f"{value}_"))
 
 
-def _keyed(histogram: DataFrame, keys: list[str], rates: list[tuple[DataFrame, str, list[str]]]) -> DataFrame:
-    """Histogram summed to one row for each key, conversion and base, with the rates of its key."""
+def _keyed(histogram: DataFrame, keys: list[str], threshold: int, rates: list[tuple[DataFrame, str, list[str]]]) -> DataFrame:
+    """Histograms of the keys that have their rates and at least `threshold` reads, summed to one
+    row for each key, conversion and base, with the rates; sorted, every key in one partition.
+
+    The number of partitions is fixed: histograms are small, so partitions that are merged by size
+    would leave all the costly fits to one task.
+    """
     extra = [k for _, _, by in rates for k in by if k not in keys]
-    out = histogram.filter("base > 0 and count > 0").groupBy(*keys, *dict.fromkeys(extra), "conversion", "base").agg(F.sum("count").alias("count"))
+    spark = histogram.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    out = histogram.groupBy(*keys, *dict.fromkeys(extra), "conversion", "base").agg(F.sum("count").alias("count"))
     for t, value, by in rates:
         out = out.join(t.select(*by, F.col(value).cast("double").alias(f"{value}_")), by) if by else out.join(F.broadcast(_one_value(t, value)))
-    return out
+    out = out.repartition(n, *keys).withColumn("reads_", F.sum("count").over(W.partitionBy(*keys)))
+    return out.filter((F.col("reads_") >= threshold) & (F.col("base") > 0) & (F.col("count") > 0)).drop("reads_").sortWithinPartitions(*keys)
 
 
 class _Groups:
@@ -277,11 +285,8 @@ class _Groups:
 
 
 def _fitted(rows: DataFrame, by: list[str], rates: list[str], names: list[str], fit: Callable) -> DataFrame:
-    """rows in a fixed number of partitions by key (histograms are small, so partitions that are
-    merged by size would leave all the costly fits to one task), each fitted group by group."""
-    spark = rows.sparkSession
-    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    own = rows.select(*by, "conversion", "base", "count", *[f"{r}_" for r in rates]).repartition(n, *by).sortWithinPartitions(*by)
+    """rows of `_keyed`, fitted group by group."""
+    own = rows.select(*by, "conversion", "base", "count", *[f"{r}_" for r in rates])
     return own.mapInArrow(_Groups(by, rates, names, fit), T.StructType([*(f for f in own.schema.fields if f.name in by), *[T.StructField(c, T.DoubleType()) for c in names]]))
 
 
@@ -290,9 +295,7 @@ def fit_induced(histogram: DataFrame, p_e: DataFrame, by: list[str], threshold:
 
     Groups with more than one p_e are an error, as is a p_e without keys that is not one row.
     """
-    p_e_by = by if p_e_by is None else p_e_by
-    large = histogram.groupBy(*by).agg(F.sum("count").alias("reads_")).filter(F.col("reads_") >= threshold).select(*by)
-    rows = _keyed(histogram.join(large, by, "left_semi"), by, [(p_e, "p_e", p_e_by)])
+    rows = _keyed(histogram, by, threshold, [(p_e, "p_e", by if p_e_by is None else p_e_by)])
     run = induced_rates_nasc if nasc else induced_rates
     return _fitted(rows, by, ["p_e"], ["p_c"], lambda group, k, n, count, p: [run(group, k, n, count, p)])
 
@@ -302,8 +305,7 @@ def fit_share(histogram: DataFrame, p_e: DataFrame, p_c: DataFrame, by: list[str
 
     Groups with more than one p_e or p_c are an error.
     """
-    large = histogram.groupBy(*by).agg(F.sum("count").alias("reads_")).filter(F.col("reads_") >= threshold).select(*by)
-    rows = _keyed(histogram.join(large, by, "left_semi"), by, [(p_e, "p_e", rates_by if set(rates_by) <= set(p_e.columns) else []), (p_c, "p_c", rates_by)])
+    rows = _keyed(histogram, by, threshold, [(p_e, "p_e", rates_by if set(rates_by) <= set(p_e.columns) else []), (p_c, "p_c", rates_by)])
 
     def fit(group, k, n, count, background, induced) -> list[np.ndarray]:
         ends = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group))

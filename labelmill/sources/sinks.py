@@ -54,11 +54,13 @@ class RunInfo:
         yield
         self.steps[name] = (dt.datetime.now() - began).total_seconds()
 
-    def save(self, folder: str) -> str:
+    def text(self) -> str:
         ended = dt.datetime.now()
+        return json.dumps({"version": __version__, "workdir": os.getcwd(), "call": " ".join(sys.argv), "start_time": self.started.isoformat(), "end_time": ended.isoformat(), "elapsed": (ended - self.started).total_seconds(), "steps": self.steps}, indent=2)
+
+    def save(self, folder: str) -> str:
         os.makedirs(folder, exist_ok=True)
         path = os.path.join(folder, f"run_info_{self.started:%Y%m%d_%H%M%S_%f}.json")
-        info = {"version": __version__, "workdir": os.getcwd(), "call": " ".join(sys.argv), "start_time": self.started.isoformat(), "end_time": ended.isoformat(), "elapsed": (ended - self.started).total_seconds(), "steps": self.steps}
         with open(path, "w") as f:
-            json.dump(info, f, indent=2)
+            f.write(self.text())
         return path

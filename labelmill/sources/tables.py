@@ -103,4 +103,4 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str, sort: list[str] = ()) -> None:
     """df with the names that files have; sorted by key where asked."""
     out = df.orderBy(*sort) if sort else df
-    out.select(*[F.col(c).alias(FILE_NAMES.get(c, c)) for c in out.columns]).write.mode("overwrite").csv(path, header=True)
+    out.select(*[F.col(c).alias(FILE_NAMES.get(c, c)) for c in out.columns]).write.mode("overwrite").csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
