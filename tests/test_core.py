@@ -193,6 +193,13 @@ def test_downsample_is_exact(spark):
     assert sorted(r["count"] for r in grouped) == [1666, 1667, 1667]
     copies = spark.createDataFrame([("x",)] * 50, "k string")
     assert sample.downsample(copies, ["k"], count=20).count() == 20
+    for n in (0, 1, 50, 51):
+        assert sample.downsample(copies, ["k"], count=n).count() == min(n, 50)
+    assert sample.downsample(df, ["id"], count=5000).count() == sample.downsample(df, ["id"], count=9999).count() == 5000
+    assert sample.downsample(df.filter("false"), ["id"], proportion=0.5).count() == 0
+    mixed = copies.unionByName(spark.range(300).select(F.col("id").cast("string").alias("k")))
+    for n in range(1, 340, 23):
+        assert sample.downsample(mixed, ["k"], count=n, seed=n).count() == n
     with pytest.raises(ValueError):
         sample.downsample(df, ["id"], count=1, proportion=0.1)
 
