@@ -16,9 +16,9 @@ plausible text that the search reaches tells that it is garbled.
 
 Pair counts are taken over distinct texts, so copies of a garbled text do not make it plausible,
 and hashed into tables of fixed size, so what is sent to the executors does not grow.  The search
-depends on a stretch alone, so each distinct one is searched once for all documents; those with a
-more plausible reading are marked in a Bloom filter of fixed size, and the documents' own pass
-searches only what the filter does not rule out.
+depends on a stretch alone, so each distinct one is searched once for all documents.  The outcomes
+of the most frequent ones are sent along with a Bloom filter of fixed size of all that have a more
+plausible reading; the documents' own pass searches only what neither of these tells.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import html
+import json
 import math
 import re
 import uuid
@@ -60,6 +61,8 @@ SURE = 2.0
 BEAM = 16
 #: Bits of the filter of stretches that have a more plausible reading.
 FILTER_BITS = 23
+#: Outcomes that are sent to all workers, and the length of their stretches: below 20 MB in all.
+COMMON, COMMON_LENGTH = 50_000, 64
 
 #: Encodings, the usual mistakes first; fixed values.
 READ_FOR_UTF8 = ("cp1252", "latin-1", "cp1250", "iso8859-2", "iso8859-15", "cp1251", "koi8-r", "cp437", "cp850", "cp866", "mac-roman", "cp1253", "cp1254", "iso8859-7", "mac-cyrillic", "gb18030", "big5", "shift_jis", "euc-kr")
@@ -257,9 +260,10 @@ def _convert(text: str, a: str, b: str) -> str:
 class Repairer:
     """Search over the ways in which a stretch may have come about."""
 
-    def __init__(self, model: Plausibility, letters: dict[str, int], marked: np.ndarray | None = None) -> None:
-        """letters: characters beyond ASCII with their numbers; marked: a filter, see `mark`."""
-        self.model, self.marked = model, marked
+    def __init__(self, model: Plausibility, letters: dict[str, int], marked: np.ndarray | None = None, common: dict | None = None) -> None:
+        """letters: characters beyond ASCII with their numbers; marked: a filter, see `marked_bits`;
+        common: known outcomes."""
+        self.model, self.marked, self.common = model, marked, common or {}
         letters = {c: n for c, n in letters.items() if c > "\x7f" and not LOST.search(c)}
         total = sum(letters.values())
         self.prices = {c: RESTORE_PRICE - math.log(n / total) for c, n in letters.items()}
@@ -361,7 +365,7 @@ class Repairer:
     def judge(self, stretch: str) -> tuple[tuple, float, bool]:
         """Outcome of the search for the shape of a stretch; remembered."""
         key = shape(stretch)
-        out = self.known.get(key)
+        out = self.common.get(key) or self.known.get(key)
         if out is None:
             if self.marked is not None and not is_marked(self.marked, key):
                 return (), 0.0, True
@@ -500,28 +504,44 @@ def is_marked(marked: np.ndarray, key: str) -> bool:
     return all(marked[i >> 3] >> (i & 7) & 1 for i in bits_of(key))
 
 
-def mark(shapes: DataFrame, make: Callable[[], Repairer]) -> np.ndarray:
-    """The filter of the shapes that have a more plausible reading, or whose search was given up.
-
-    At most one number for each bit reaches the driver; the more bits are set, the more shapes are
-    searched again, and none is missed.
-    """
+def outcomes(shapes: DataFrame, make: Callable[[], Repairer]) -> DataFrame:
+    """shape, n, path, gain and ended of the shapes that have a more plausible reading, or whose
+    search was given up, with their places in the filter (bits); each is searched once."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        repairer, bits = make(), set()
+        repairer = make()
         for pdf in frames:
-            for s in pdf["shape"]:
-                path, _, ended = repairer.search(s)
+            rows = []
+            for s, n in zip(pdf["shape"], pdf["n"]):
+                path, gain, ended = repairer.search(s)
                 if path or not ended:
-                    bits.update(bits_of(s))
-        yield pd.DataFrame({"bit": np.array(sorted(bits), np.int64)})
+                    rows.append((s, n, json.dumps(path), gain, ended, list(bits_of(s))))
+            if rows:
+                yield pd.DataFrame(rows, columns=["shape", "n", "path", "gain", "ended", "bits"])
+
+    return checkpointed(spread(shapes).mapInPandas(run, "shape string, n long, path string, gain double, ended boolean, bits array<long>"))
+
 
-    bits = spread(shapes.select("shape")).mapInPandas(run, "bit long").distinct().toPandas()["bit"].to_numpy(np.int64)
+def marked_bits(found: DataFrame) -> np.ndarray:
+    """The filter of the shapes of `outcomes`.
+
+    At most one number for each bit reaches the driver; the more bits are set, the more shapes are
+    searched again, and none is missed.
+    """
+    bits = found.select(F.explode("bits").alias("bit")).distinct().toPandas()["bit"].to_numpy(np.int64)
     flags = np.zeros(1 << FILTER_BITS, np.uint8)
     flags[bits] = 1
     return np.packbits(flags, bitorder="little")
 
 
+def common_outcomes(found: DataFrame) -> dict[str, tuple[tuple, float, bool]]:
+    """The outcomes of the most frequent shapes, at most COMMON of them and none longer than
+    COMMON_LENGTH, so that workers need not search these; all others they search themselves."""
+    short = found.filter((F.length("shape") <= COMMON_LENGTH) & (F.length("path") <= 4 * COMMON_LENGTH))
+    rows = short.orderBy(F.desc("n"), "shape").limit(COMMON).select("shape", "path", "gain", "ended").toPandas()
+    return {s: (tuple(map(tuple, json.loads(p))), g, e) for s, p, g, e in rows.itertuples(index=False)}
+
+
 #: The repairer of a worker, by the run it belongs to.
 _REPAIRERS: dict[str, Repairer] = {}
 
@@ -551,8 +571,8 @@ def repair_texts(documents: DataFrame, text: str, keep: list[str]) -> DataFrame:
     model, letters = learn(shapes)
     context = documents.sparkSession.sparkContext
     shared = context.broadcast((model.singles, model.pairs, letters))
-    marked = context.broadcast(mark(shapes, _held(uuid.uuid4().hex, shared)))
-    make, n = _held(uuid.uuid4().hex, shared, marked), len(keep)
+    searched = outcomes(shapes, _held(uuid.uuid4().hex, shared))
+    make, n = _held(uuid.uuid4().hex, shared, context.broadcast(marked_bits(searched)), context.broadcast(common_outcomes(searched))), len(keep)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         repairer = make()

@@ -159,7 +159,9 @@ def test_the_filter_of_stretches_misses_none(spark):
     shapes = mojibake.distinct_shapes(df, "text")
     model, letters = mojibake.learn(shapes)
     alone = mojibake.Repairer(model, letters)
-    marked = mojibake.mark(shapes, lambda: mojibake.Repairer(model, letters))
+    found = mojibake.outcomes(shapes, lambda: mojibake.Repairer(model, letters))
+    marked, common = mojibake.marked_bits(found), mojibake.common_outcomes(found)
+    assert common and all(alone.search(s) == out for s, out in common.items())
     paths = {r["shape"]: alone.search(r["shape"])[0] for r in shapes.collect()}
     assert all(mojibake.is_marked(marked, s) for s, path in paths.items() if path) and any(paths.values())
     assert sum(mojibake.is_marked(marked, s) for s, path in paths.items() if not path) <= 1
