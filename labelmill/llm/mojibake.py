@@ -81,6 +81,7 @@ RESTORE_PRICE = 3.0
 ENTITY = regex.compile(r"&(?:[A-Za-z]{2,8}[0-9]{0,2}|#x?[0-9A-Fa-f]+);")
 #: U+0085 is also a line end and no sign of loss by itself.
 LOST = regex.compile(r"[�\x80-\x84\x86-\x9f]")
+SIGNS_OF_LOSS = frozenset(c for c in map(chr, [*range(0x80, 0xA0), 0xFFFD]) if LOST.match(c))
 #: Characters beyond ASCII that are more than a kind of blank.
 SEEN = regex.compile(r"[^\x00-\x7f\p{Z}\u200b-\u200f\ufeff]")
 START = re.compile(r"[^\x00-\x7f]|&")
@@ -115,7 +116,8 @@ def _codes(text: str) -> np.ndarray:
 
 
 #: Odd multipliers of the hash functions; fixed values.
-_MIX = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
+MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_MIX, _WORD = [np.uint64(m) for m in MULTIPLIERS], (1 << 64) - 1
 
 
 def _slots(codes: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -125,6 +127,12 @@ def _slots(codes: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
     return [mix(codes, m, SINGLE_BITS) for m in _MIX], [mix(pairs, m, PAIR_BITS) for m in _MIX]
 
 
+def _slot(code: int, m: int, bits: int) -> int:
+    """The place of one character or pair, as _slots gives it."""
+    code = code * m & _WORD
+    return ((code ^ code >> 29) * m & _WORD) >> 64 - bits
+
+
 class Plausibility:
     """Cost of a text: minus the log of the chance of each character after the one before it.
 
@@ -138,11 +146,13 @@ class Plausibility:
 
         self.prices: dict[str, float] = {}
 
+    def _count(self, c: str) -> float:
+        return 0.0 if c in SIGNS_OF_LOSS else min(float(t[_slot(ord(c), m, SINGLE_BITS)]) for t, m in zip(self.singles, MULTIPLIERS))
+
     def _price(self, pair: str) -> float:
-        one, two = _slots(np.array([ord(c) for c in pair], np.uint64))
-        first, second = (0.0 if LOST.search(c) else min(float(self.singles[0][a]), float(self.singles[1][b])) for c, a, b in zip(pair, *one))
-        both = 0.0 if LOST.search(pair) else min(float(self.pairs[0][two[0][0]]), float(self.pairs[1][two[1][0]]))
-        return -math.log((both + 0.5 * (second + 0.02) / (self.total + 2000)) / (first + 0.5))
+        a, b = pair
+        both = 0.0 if a in SIGNS_OF_LOSS or b in SIGNS_OF_LOSS else min(float(t[_slot(ord(a) << 21 | ord(b), m, PAIR_BITS)]) for t, m in zip(self.pairs, MULTIPLIERS))
+        return -math.log((both + 0.5 * (self._count(b) + 0.02) / (self.total + 2000)) / (self._count(a) + 0.5))
 
     def cost(self, text: str) -> float:
         """Only pairs with a character beyond ASCII cost: the others are the same in every reading."""
@@ -367,11 +377,10 @@ class Repairer:
         key = shape(stretch)
         out = self.common.get(key) or self.known.get(key)
         if out is None:
-            if self.marked is not None and not is_marked(self.marked, key):
-                return (), 0.0, True
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            out = self.known[key] = self.search(key)
+            ruled_out = self.marked is not None and not is_marked(self.marked, key)
+            out = self.known[key] = ((), 0.0, True) if ruled_out else self.search(key)
         return out
 
     def ways(self, text: str) -> tuple[dict[tuple, float], set[tuple], bool]:

@@ -169,6 +169,15 @@ def test_the_filter_of_stretches_misses_none(spark):
     assert got == {i: alone.repair(t) for i, t in rows}
 
 
+def test_places_of_single_characters_and_pairs_agree():
+    text = "a\u00e9\u4e2d\U0001f648 z"
+    one, two = mojibake._slots(mojibake._codes(text))
+    framed = f" {text} "
+    for k, m in enumerate(mojibake.MULTIPLIERS):
+        assert one[k].tolist() == [mojibake._slot(ord(c), m, mojibake.SINGLE_BITS) for c in framed]
+        assert two[k].tolist() == [mojibake._slot(ord(a) << 21 | ord(b), m, mojibake.PAIR_BITS) for a, b in zip(framed, framed[1:])]
+
+
 def test_lost_bytes_are_put_back_from_what_they_left():
     forms = mojibake.lossy_forms("\u0444\u2019\u2265\u00e0")
     assert ("\u00d1", "\u0444") in forms["\u00d1"] and ("\u00c3", "\u00e0") in forms["\u00c3"]
