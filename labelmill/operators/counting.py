@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from labelmill.functions.names import free_name
 from labelmill.functions.sequences import BASES, CONVERSIONS, N_COLUMNS, QUALITY, base_col, complement, n_col, total
 from labelmill.operators.filters import is_labeled, mismatches
 
@@ -58,9 +59,20 @@ def complement_counts(counts: DataFrame, genes: DataFrame) -> DataFrame:
     return joined.select(*[swap(c, pairs[c]) if c in pairs else F.col(c) for c in counts.columns])
 
 
-def _best(df: DataFrame, keys: list[str], order: list[Column], ties: list[str], extra: list[Column] = ()) -> DataFrame:
-    """The row with the greatest tuple of `order` and `ties` for each key, by an aggregate that
-    combines before the shuffle.  Nulls are least; equal tuples are told apart by the other values."""
+def _best(df: DataFrame, keys: list[str], order: list[Column], ties: list[str]) -> DataFrame:
+    """The row with the greatest tuple of `order` and `ties` for each key.
+
+    Nulls are least; equal tuples are told apart by the other values.  Only the best row of each
+    key leaves a map task, as the optimizer limits the groups of the window before the shuffle.
+    """
+    own = [*ties, *[c for c in df.columns if c not in keys and c not in ties]]
+    place = free_name("place_", df.columns)
+    by = W.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in [*order, *map(F.col, own)]])
+    return df.withColumn(place, F.row_number().over(by)).filter(F.col(place) == 1).drop(place)
+
+
+def _best_and(df: DataFrame, keys: list[str], order: list[Column], ties: list[str], extra: list[Column]) -> DataFrame:
+    """The same with aggregates over all rows of the key, by one aggregate that combines before the shuffle."""
     own = [*ties, *[c for c in df.columns if c not in keys and c not in ties]]
     best = F.max(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], *[F.col(c).alias(f"r{i}") for i, c in enumerate(own)])).alias("best_")
     out = df.groupBy(*keys).agg(best, *extra)
@@ -94,7 +106,7 @@ def drop_multimappers(counts: DataFrame, conversions: list[str] | None = None, t
     """
     none = ~F.bool_or(F.coalesce(F.col("transcriptome"), F.lit(False)))
     several = lambda c: F.coalesce(F.min(c) != F.max(c), F.lit(False))
-    best = _best(counts, ["read_id"], _rank(conversions), list(ties), [(none & several("gx")).alias("many_genes_"), (none & several("velocity")).alias("many_velocities_")])
+    best = _best_and(counts, ["read_id"], _rank(conversions), list(ties), [(none & several("gx")).alias("many_genes_"), (none & several("velocity")).alias("many_velocities_")])
     return best.filter(~F.col("many_genes_")).withColumn("velocity", F.when(F.col("many_velocities_"), "ambiguous").otherwise(F.col("velocity"))).drop("many_genes_", "many_velocities_")
 
 
@@ -107,7 +119,7 @@ def select_alignments(alignments: DataFrame, umis: bool = True) -> DataFrame:
     none = ~F.bool_or(F.coalesce(F.col("transcriptome"), F.lit(False)))
     many = (none & F.coalesce(F.min("gx") != F.max("gx"), F.lit(False))).alias("many_genes_")
     own = alignments.select("gx", *READ_KEY, "transcriptome", "score")
-    return _best(own, ["read_id"], order, ["aln_index"], [many]).filter(~F.col("many_genes_")).select(*READ_KEY)
+    return _best_and(own, ["read_id"], order, ["aln_index"], [many]).filter(~F.col("many_genes_")).select(*READ_KEY)
 
 
 def split_by_velocity(counts: DataFrame, classes: list[str]) -> dict[str, DataFrame]:
