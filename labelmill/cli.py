@@ -163,7 +163,9 @@ def run_consensus(spark: SparkSession, a, error) -> None:
     out = consensus(sam.read_records(spark, a.bam), genes, strand=_strand(a, error), umi_tag=a.umi_tag, barcode_tag=a.barcode_tag, gene_tag=a.gene_tag, barcodes=known, quality=a.quality, names=a.names)
     out.write.mode("overwrite").parquet(f"{a.o}/consensus")
     header = [*sam.header_lines(sam.read_header(a.bam)), "@PG\tID:labelmill\tPN:labelmill\tCL:" + " ".join(sys.argv)]
-    sam.write_sam(spark.read.parquet(f"{a.o}/consensus"), f"{a.o}/consensus.sam", header)
+    written = spark.read.parquet(f"{a.o}/consensus")
+    sam.write_sam(written, f"{a.o}/consensus.sam", header)
+    sam.write_bam(written, f"{a.o}/consensus.bam", header)
 
 
 def run_count(spark: SparkSession, a, error) -> None:

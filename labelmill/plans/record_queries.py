@@ -215,6 +215,21 @@ def sam_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 _PART = "(seg_end - seg_start) // 4"
 
 
+SQL["bam_round_trip"] = SQL["sam_round_trip"]
+
+
+def bam_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Records written as BAM files and read again."""
+    out = scratch_folder(spark, "bam").removeprefix("file:")
+    sam.write_bam(single_records(spark, folder), out, ["@HD\tVN:1.6\tSO:coordinate"])
+    tag = lambda t, name: F.try_element_at("tags", F.lit(t)).alias(name)
+    total = F.aggregate("quality", F.lit(0).cast("long"), lambda s, q: s + q)
+    return sam.read_bam(spark, out).select("read_id", "flag", "contig", "start", "cigar", "seq", total.alias("quality_sum"), tag("CB", "barcode"), tag("UB", "umi"), tag("GX", "gx"), tag("AS", "score"))
+
+
+QUERIES["bam_round_trip"] = bam_round_trip
+
+
 @query(f"""WITH {_SINGLE}, sums AS (SELECT name, {", ".join(f"count(*) FILTER (ref = '{b}') AS {base_col(b)}" for b in BASES)} FROM (SELECT name, ref FROM b UNION ALL SELECT name, ref FROM d) GROUP BY name),
     ends AS (SELECT name, min(pos) AS lo, max(pos) + 1 AS hi FROM b GROUP BY name),
     span AS (SELECT r.name, r.contig, r.k, r.start AS s, lo, hi, {", ".join(BASE_COLUMNS)} FROM r JOIN sums ON sums.name = r.name JOIN ends ON ends.name = r.name),

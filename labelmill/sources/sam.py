@@ -1,18 +1,24 @@
-"""Alignment records from SAM text and from BAM files, and SAM text as output.
+"""Alignment records from SAM text and from BAM files, and both as output.
 
-A BAM file is read by `spark.read.format("bam")` after `register(spark)`.  A file with a .bai index
-beside it is split at the record starts that the index names; one without is a single partition.
+A BAM file, or a folder of them, is read by `spark.read.format("bam")` after `register(spark)`.  A
+file with a .bai index beside it is split at the record starts that the index names; one without
+is a single partition.  Files lie on any file system that all executors reach: paths with a scheme
+are opened by Arrow, others on the machine's own file system.
 """
 
 from __future__ import annotations
 
 import gzip
+import io
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from typing import IO
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
@@ -41,11 +47,37 @@ def sam_lines(records: DataFrame) -> DataFrame:
     return records.select(F.concat_ws("\t", *fixed, tags).alias("value"))
 
 
+def _place(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), os.path.abspath(path))
+
+
+def _open(path: str) -> IO[bytes]:
+    """A file to read at any place."""
+    if "://" not in path:
+        return open(path, "rb")
+    system, own = _place(path)
+    return system.open_input_file(own)
+
+
+def _exists(path: str) -> bool:
+    system, own = _place(path)
+    return system.get_file_info(own).type != fs.FileType.NotFound
+
+
+def _bam_files(path: str) -> list[str]:
+    """The file itself, or the BAM files of a folder."""
+    system, own = _place(path)
+    if system.get_file_info(own).type != fs.FileType.Directory:
+        return [path]
+    names = [x.base_name for x in system.get_file_info(fs.FileSelector(own))]
+    return [f"{path.rstrip('/')}/{n}" for n in sorted(names) if n.endswith(".bam") and not n.startswith((".", "_"))]
+
+
 class _Blocks:
     """Bytes of a block-compressed file from a virtual offset on."""
 
     def __init__(self, path: str, offset: int = 0) -> None:
-        self.file = open(path, "rb")
+        self.file = _open(path)
         self.block, self.at, self.data = offset >> 16, 0, b""
         self._load(self.block)
         self.at = offset & 0xFFFF
@@ -99,14 +131,15 @@ def _header(blocks: _Blocks) -> tuple[list[str], list[str]]:
 
 
 def read_header(path: str) -> list[str]:
-    """Header lines of a BAM or SAM file."""
-    with open(path, "rb") as f:
-        packed = f.read(2) == b"\x1f\x8b"
-    if packed and path.endswith(".bam"):
-        return _header(_Blocks(path))[0]
-    with (gzip.open if packed else open)(path, "rt") as f:
+    """Header lines of a BAM or SAM file, of a folder of BAM files those of the first."""
+    if path.rstrip("/").endswith(".bam"):
+        files = _bam_files(path)
+        return _header(_Blocks(files[0]))[0] if files else []
+    with _open(path) as raw:
+        packed = raw.read(2) == b"\x1f\x8b"
+        raw.seek(0)
         lines = []
-        for line in f:
+        for line in io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if packed else raw):
             if not line.startswith("@"):
                 break
             lines.append(line.rstrip("\n"))
@@ -158,7 +191,7 @@ def _record(data: bytes, names: list[str]) -> tuple:
 
 def _index_starts(path: str) -> list[int]:
     """Virtual offsets of record starts named by a .bai index, one for each 16 kb of a contig."""
-    with open(path, "rb") as f:
+    with _open(path) as f:
         data = f.read()
     if data[:4] != b"BAI\1":
         return []
@@ -194,10 +227,9 @@ class BamReader(DataSourceReader):
             yield f
 
     def partitions(self) -> list[_Span]:
-        paths = sorted(os.path.join(self.path, p) for p in os.listdir(self.path) if p.endswith(".bam")) if os.path.isdir(self.path) else [self.path]
         spans = []
-        for p in paths:
-            index = next((x for x in (p + ".bai", p[:-4] + ".bai") if os.path.exists(x)), None)
+        for p in _bam_files(self.path):
+            index = next((x for x in (p + ".bai", p[:-4] + ".bai") if _exists(x)), None)
             cuts: list[int] = []
             for s in _index_starts(index) if index else []:
                 if (s >> 16) - ((cuts[-1] >> 16) if cuts else 0) >= self.SPLIT:
@@ -206,7 +238,19 @@ class BamReader(DataSourceReader):
             spans += [_Span(p, a, b) for a, b in zip(edges, edges[1:])]
         return spans
 
-    def read(self, partition: _Span) -> Iterator[tuple]:
+    def read(self, partition: _Span) -> Iterator[pa.RecordBatch]:
+        rows = []
+        if partition is None:  # a folder without files
+            return
+        for row in self.rows(partition):
+            rows.append(row)
+            if len(rows) == 4096:
+                yield _batch(rows)
+                rows = []
+        if rows:
+            yield _batch(rows)
+
+    def rows(self, partition: _Span) -> Iterator[tuple]:
         blocks = _Blocks(partition.path)
         names = _header(blocks)[1]
         if partition.start is not None:
@@ -223,6 +267,16 @@ class BamReader(DataSourceReader):
                 yield _record(data, names)
 
 
+_KINDS = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.map_(pa.string(), pa.string())]
+_NAMES = ["read_id", "flag", "contig", "start", "mapq", "cigar", "seq", "quality", "tags"]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [list(c) for c in zip(*rows)]
+    columns[-1] = [list(t.items()) for t in columns[-1]]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS)], names=_NAMES)
+
+
 class BamSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -278,6 +332,90 @@ def write_sam(records: DataFrame, path: str, header: list[str]) -> None:
     lines.mapInArrow(headed, "value string").write.mode("overwrite").text(path)
 
 
+#: Most bytes of a block before it is compressed, and the empty block that ends a file; fixed values.
+_BLOCK = 0xFF00
+
+
+def _packed(data: bytes) -> bytes:
+    """A block of a block-compressed file."""
+    pack = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = pack.compress(data) + pack.flush()
+    head = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0"
+    return head + struct.pack("<H", len(body) + 25) + body + struct.pack("<II", zlib.crc32(data), len(data))
+
+
+def _bin(start: int, end: int) -> int:
+    """Number of the smallest bin of the index scheme that holds [start, end): bins of 2**14 to
+    2**29 bases, eight of each size in the next one."""
+    for level, size in enumerate((14, 17, 20, 23, 26)):
+        if start >> size == (end - 1) >> size:
+            return ((1 << (15 - 3 * level)) - 1) // 7 + (start >> size)
+    return 0
+
+
+def _encoded(row: dict, numbers: dict[str, int]) -> bytes:
+    """A record as it stands in a BAM file."""
+    ops = [(int(n), _OPS.index(op)) for n, op in re.findall(r"(\d+)([MIDNSHP=X])", row["cigar"] or "")]
+    seq, start = row["seq"] or "", row["start"] if row["start"] is not None else -1
+    width = sum(n for n, op in ops if _OPS[op] in "MDN=X") or 1
+    codes = [_LETTERS.index(c) if c in _LETTERS else 15 for c in seq.upper()] + [0] * (len(seq) % 2)
+    quality = row["quality"] if row["quality"] is not None else [255] * len(seq)
+    tags = b""
+    for key, value in row["tags"] or []:
+        number = re.fullmatch(r"-?[0-9]{1,9}", value) is not None and str(int(value)) == value
+        tags += key.encode() + (b"i" + struct.pack("<i", int(value)) if number else b"Z" + value.encode() + b"\0")
+    name = row["read_id"].encode() + b"\0"
+    fixed = struct.pack("<iiBBHHHiiii", numbers.get(row["contig"], -1), start, len(name), row["mapq"] if row["mapq"] is not None else 255, _bin(max(start, 0), max(start, 0) + width), len(ops), row["flag"], len(seq), -1, -1, 0)
+    body = fixed + name + b"".join(struct.pack("<I", n << 4 | op) for n, op in ops) + bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2])) + bytes(quality) + tags
+    return struct.pack("<i", len(body)) + body
+
+
+def write_bam(records: DataFrame, path: str, header: list[str]) -> int:
+    """Records in order of place as a folder of BAM files, one for each range; gives their number.
+
+    Contigs come in the order of the header's @SQ lines, then those it lacks.  Read ids are at most
+    254 bytes, as the format has it.  A task writes its file under a name of its own and renames it
+    when it is whole, so one that is run again does no harm.
+    """
+    named = {f[3:]: next((int(x[3:]) for x in line.split("\t") if x.startswith("LN:")), 0) for line in header if line.startswith("@SQ") for f in line.split("\t") if f.startswith("SN:")}
+    more = {r["contig"]: r["end"] for r in records.filter(F.col("contig").isNotNull()).groupBy("contig").agg((F.max("start") + 1).alias("end")).collect() if r["contig"] not in named}  # a row for each contig
+    lines = [*header, *[f"@SQ\tSN:{c}\tLN:{n}" for c, n in sorted(more.items())]]
+    sizes = named | dict(sorted(more.items()))
+    text = "".join(x + "\n" for x in lines).encode()
+    head = b"BAM\1" + struct.pack("<i", len(text)) + text + struct.pack("<i", len(sizes))
+    head += b"".join(struct.pack("<i", len(c.encode()) + 1) + c.encode() + b"\0" + struct.pack("<i", n) for c, n in sizes.items())
+    numbers = {c: i for i, c in enumerate(sizes)}
+    system, folder = _place(path)
+    if system.get_file_info(folder).type != fs.FileType.NotFound:
+        system.delete_dir(folder)
+    system.create_dir(folder, recursive=True)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, (place, own) = TaskContext.get(), _place(path)
+        name = f"part-{task.partitionId():05d}.bam"
+        draft, n, waiting = f"{own}/.{name}.{task.taskAttemptId()}", 0, bytearray(head)
+        with place.open_output_stream(draft) as out:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    waiting += _encoded(row, numbers)
+                    n += 1
+                    while len(waiting) > _BLOCK:
+                        out.write(_packed(bytes(waiting[:_BLOCK])))
+                        del waiting[:_BLOCK]
+            out.write(_packed(bytes(waiting)) + _packed(b""))
+        place.move(draft, f"{own}/{name}")
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    order = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for item in numbers.items() for x in item]), F.col("contig")), F.lit(len(numbers))) if numbers else F.lit(0)
+    rows = records.select(*_NAMES).withColumn("order_", order)
+    parts = rows.repartitionByRange("order_", "start").sortWithinPartitions("order_", "start", "read_id", "flag").drop("order_")
+    n = parts.mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).collect()[0]["n"]
+    if not _bam_files(path):  # without records there are no tasks either
+        with system.open_output_stream(f"{folder}/part-00000.bam") as out:
+            out.write(_packed(head[:_BLOCK]) + b"".join(_packed(head[i : i + _BLOCK]) for i in range(_BLOCK, len(head), _BLOCK)) + _packed(b""))
+    return n
+
+
 def sorted_records(records: DataFrame) -> DataFrame:
     """Records by contig and place, over all partitions."""
     return records.orderBy("contig", "start", "read_id", "flag")

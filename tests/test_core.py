@@ -457,9 +457,11 @@ def test_command_line_from_records_to_estimates(spark, tmp_path):
     assert text[0] == "@HD\tVN:1.6\tSO:coordinate" and text[1].startswith("@PG\tID:a")
     places = [int(x.split("\t")[3]) for x in text if not x.startswith("@")]
     assert len(places) == 400 and places == sorted(places) and sum(x.startswith("@") for x in text) == 3
-    from labelmill.sources.sam import read_sam
+    from labelmill.sources.sam import read_bam, read_sam
 
     assert read_sam(spark, f"{con}/consensus.sam").count() == 400
+    again = read_bam(spark, f"{con}/consensus.bam")
+    assert again.count() == 400 and [r["start"] + 1 for r in again.select("start").collect()] == places
     for bad in (["count", "-g", gtf, "--conversion", "TC,TC", bam], ["count", "-g", gtf, "--conversion", "XX", bam], ["count", "-g", gtf, "--quality", "42", "--conversion", "TC", bam]):
         with pytest.raises(SystemExit):
             cli.main(bad)

@@ -279,3 +279,30 @@ def test_fasta_and_index_parameters(spark, tmp_path):
     assert index_parameters(194, 3_099_750_718) == {"genomeSAindexNbases": 14, "genomeChrBinNbits": 18, "genomeSAsparseD": 3, "limitGenomeGenerateRAM": 16 << 30}
     with pytest.raises(ValueError):
         index_parameters(1, 10**9, 1 << 30)
+
+
+def test_bam_files_hold_what_was_written(spark, tmp_path):
+    rng = random.Random(4)
+    rows = []
+    for i in range(3000):
+        cigar, seq, quality, md, _ = random_record(rng, 0)
+        rows.append(record(f"r{i}", rng.randrange(1 << 20), cigar, seq, quality, md, flag=rng.choice([0, 16]), contig=rng.choice("12"), CB="c\u00e9", NH="3", XX="007"))
+    rows.append(("nowhere", 4, None, None, 0, None, None, None, {}))
+    records = spark.createDataFrame(rows, RECORDS).repartition(3)
+    header = ["@HD\tVN:1.6", "@SQ\tSN:2\tLN:2000000"]
+    assert sam.write_bam(records, str(tmp_path / "out.bam"), header) == 3001
+    again = sam.read_bam(spark, str(tmp_path / "out.bam"))
+    plain = lambda r: (r["read_id"], r["flag"], r["contig"], r["start"] if r["start"] is not None and r["start"] >= 0 else None, r["mapq"], r["cigar"], r["seq"], r["quality"], r["tags"])
+    assert sorted(map(repr, map(plain, again.collect()))) == sorted(map(repr, map(plain, records.collect())))
+    assert sam.read_header(str(tmp_path / "out.bam")) == [*header, "@SQ\tSN:1\tLN:" + str(max(r[3] for r in rows if r[2] == "1") + 1)]
+    order = [(r["contig"], r["start"]) for r in again.select("contig", "start").collect()]
+    assert order[:-1] == sorted(order[:-1], key=lambda x: ("21".index(x[0]), x[1])) and order[-1][0] is None
+    assert again.filter("contig = '1'").count() == sum(r[2] == "1" for r in rows)
+    assert sam.write_bam(records.filter("false"), str(tmp_path / "empty.bam"), header) == 0 and sam.read_bam(spark, str(tmp_path / "empty.bam")).count() == 0
+
+
+def test_bins_of_the_index():
+    for start, end in ((0, 1), (16_383, 16_385), (70_000, 70_100), (1 << 26, (1 << 26) + 5), ((1 << 26) - 1, (1 << 26) + 1), (5_000_000, 6_500_000)):
+        sizes = [(4681, 14), (585, 17), (73, 20), (9, 23), (1, 26)]
+        want = next((first + (start >> size) for first, size in sizes if start >> size == end - 1 >> size), 0)
+        assert sam._bin(start, end) == want
