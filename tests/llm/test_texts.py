@@ -265,6 +265,15 @@ def test_precedence_decides_within_a_group_only(spark):
     assert [got[u] for u in "1234567"] == ["b", "c", "a", "q", "z", "c", "c"]
 
 
+def test_fields_that_are_no_categories_are_refused(spark, monkeypatch):
+    rows = [row(f"m{i}", r, v, None, None, t) for i in range(9) for r, v, t in (("x", f"a{i % 3}", 0), ("y", f"b{i % 3}", 1))]
+    df, keys = spark.createDataFrame(rows, ROWS), [F.col(k) for k in ("barcode", "umi", "gx")]
+    assert len(survivors.learn_currency(df, keys, ["velocity"], "loaded_at", support=3)["velocity"].after) == 6
+    monkeypatch.setattr(survivors, "MAX_PAIRS", 2)
+    with pytest.raises(ValueError):
+        survivors.learn_currency(df, keys, ["velocity", "score"], "loaded_at", support=3)
+
+
 def test_survivors_query_equals_its_sql(spark, tmp_path):
     """With a precedence in the data, learned by either side."""
     import duckdb
