@@ -126,12 +126,13 @@ P5_KEPT = ["read_id", "aln_index", "base_a", "base_c", "base_g", "base_t", "run_
 
 
 def _molecules(spark: SparkSession, folder: str, keep: list[str], fill: list[str]) -> DataFrame:
-    late = lambda c: F.struct(c.isNull().alias("none"), c.alias("value"))
+    # No negated score or moment is as great as the greatest long, which stands for nulls.
+    late = lambda c: F.coalesce(-c.cast("long"), F.lit(2**63 - 1))
     order = [
         F.when(F.col("transcriptome"), 0).when(~F.col("transcriptome"), 1).otherwise(2),
-        late(-F.col("score")),
+        late(F.col("score")),
         F.col("velocity").isNull(),
-        late(-F.unix_micros(F.col("loaded_at").cast("timestamp"))),
+        late(F.unix_micros(F.col("loaded_at").cast("timestamp"))),
         "read_id",
         "aln_index",
     ]
@@ -140,8 +141,16 @@ def _molecules(spark: SparkSession, folder: str, keep: list[str], fill: list[str
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    """The survivors; no field of theirs that has gaps is given, so there is nothing to fill."""
-    return _molecules(spark, folder, ["read_id", "aln_index"], []).select("barcode", "umi", "gx", "read_id", "aln_index")
+    """The survivors of the whole reduction, gaps filled.
+
+    Their order is complete, so what is filled changes none of the columns asked for, and Spark
+    would leave it out.  It is made and looked at here: a gap that companions could fill and that
+    is still open is an error.
+    """
+    rows = _molecules(spark, folder, ["read_id", "aln_index"], P5_FILL)
+    left_open = F.array_compact(F.array(*[F.when(F.array_contains("filled", f) & F.col(f).isNull(), F.lit(f)) for f in P5_FILL]))
+    whole = F.when(F.size(left_open) == 0, True).otherwise(F.raise_error(F.concat(F.lit("not filled: "), F.array_join(left_open, ","))).cast("boolean"))
+    return rows.filter(whole).select("barcode", "umi", "gx", "read_id", "aln_index")
 
 
 def p5_survivors(spark: SparkSession, folder: str) -> DataFrame:

@@ -109,10 +109,11 @@ def learn_currency(df: DataFrame, keys: list[Column], fields: list[str], time: s
 def latest_value(field: str, time: str, currency: Currency | None, like: str) -> list[tuple[str, Column]]:
     """Aggregates from which `resolve_latest` takes the topologically latest value of a field.
 
+    The newest value is the greatest undated one where no value is dated, as nulls come first.
     The set of undated values holds only those of the precedence, however large the group is.
     """
     value, moment = F.col(field), F.unix_micros(F.col(time).cast("timestamp"))
-    parts = [(f"{like}_timed", F.max(F.when(value.isNotNull() & moment.isNotNull(), F.struct(moment.alias("t"), value.alias("v"))))), (f"{like}_any", F.max(F.when(moment.isNull(), value)))]
+    parts = [(f"{like}_newest", F.max(F.when(value.isNotNull(), F.struct(moment.alias("t"), value.alias("v")))))]
     if currency:
         parts.append((f"{like}_open", F.collect_set(F.when(moment.isNull() & value.cast("string").isin(currency.values), value.cast("string")))))
     return parts
@@ -124,16 +125,17 @@ def resolve_latest(kind: str, currency: Currency | None, like: str) -> Column:
     Without any dated value, undated values that no precedence mentions only count when there is
     nothing else (then the greatest is taken).  Of several latest values the greatest is taken.
     """
-    timed = F.col(f"{like}_timed.v")
+    newest = F.col(f"{like}_newest.v")
     if not currency:
-        return F.coalesce(timed, F.col(f"{like}_any"))
+        return newest
+    timed = F.when(F.col(f"{like}_newest.t").isNotNull(), newest)
     known = currency.values
     after = F.create_map(*[x for v in known for x in (F.lit(v), F.array(*map(F.lit, sorted(currency.after[v]))).cast("array<string>"))])
     depth = F.create_map(*[x for v in known for x in (F.lit(v), F.lit(currency.depth(v)))])
     later = F.coalesce(F.try_element_at(after, timed.cast("string")), F.array().cast("array<string>"))
     candidates = F.when(timed.isNull(), F.col(f"{like}_open")).otherwise(F.array_intersect(f"{like}_open", later))
     latest = F.array_max(F.transform(candidates, lambda v: F.struct(F.try_element_at(depth, v).alias("d"), v.alias("v"))))
-    return F.coalesce(latest["v"].cast(kind), timed, F.col(f"{like}_any"))
+    return F.coalesce(latest["v"].cast(kind), newest)
 
 
 def best_representatives(df: DataFrame, keys: dict[str, Column], order: list[Column | str], keep: list[str], fill: list[str], categories: list[str], time: str, *, least: int = 1, support: int = SUPPORT, margin: float = MARGIN) -> DataFrame:
@@ -154,8 +156,8 @@ def best_representatives(df: DataFrame, keys: dict[str, Column], order: list[Col
     learned = learn_currency(own, cols, [c for c in categories if c in fill], time, support, margin)
     kept = list(dict.fromkeys([*keep, *fill]))
     # A column that is in the order already is not carried twice.
-    at = {c: f"best_.s{i}" for i, c in enumerate(kept)} | {o: f"best_.order_.o{i}" for i, o in enumerate(order) if isinstance(o, str)}
-    survivor = F.min(F.struct("order_", *[F.col(c).alias(f"s{i}") for i, c in enumerate(kept) if at[c] == f"best_.s{i}"])).alias("best_")
+    at = {c: f"best_.s{i}" for i, c in enumerate(kept)} | {o: f"best_.o{i}" for i, o in enumerate(order) if isinstance(o, str)}
+    survivor = F.min(F.struct("order_.*", *[F.col(c).alias(f"s{i}") for i, c in enumerate(kept) if at[c] == f"best_.s{i}"])).alias("best_")
     parts = [a.alias(n) for i, f in enumerate(fill) for n, a in latest_value(f, time, learned.get(f), f"f{i}")]
     groups = own.groupBy(*cols).agg(F.count(F.lit(1)).alias("size_"), survivor, *parts)
     if least > 1:
@@ -168,7 +170,7 @@ def best_representatives(df: DataFrame, keys: dict[str, Column], order: list[Col
             value = F.coalesce(value, resolve_latest(df.schema[c].dataType.simpleString(), learned.get(c), f"f{j}"))
         taken.append(free_name(c, taken))
         out.append(value.alias(taken[-1]))
-    filled = F.array_compact(F.array(*[F.when(F.col(at[f]).isNull() & (F.col(f"f{i}_timed").isNotNull() | F.col(f"f{i}_any").isNotNull()), F.lit(f)) for i, f in enumerate(fill)])) if fill else F.array().cast("array<string>")
+    filled = F.array_compact(F.array(*[F.when(F.col(at[f]).isNull() & F.col(f"f{i}_newest").isNotNull(), F.lit(f)) for i, f in enumerate(fill)])) if fill else F.array().cast("array<string>")
     for name, value in (("n_rows", F.col("size_")), ("filled", filled)):
         taken.append(free_name(name, taken))
         out.append(value.alias(taken[-1]))

@@ -300,6 +300,43 @@ def test_survivors_query_equals_its_sql(spark, tmp_path):
     assert "spliced" in survivors.learn_currency(spark.read.parquet(f"{tmp_path}/alignments.parquet"), keys, ["velocity"], "loaded_at")["velocity"].after["unassigned"]
 
 
+def test_found_fills_gaps_that_its_columns_do_not_show(spark, tmp_path, monkeypatch):
+    """p5_found learns the precedence, fills by it and looks at what was filled, even where rows are only counted."""
+    import duckdb
+
+    from labelmill.llm import queries
+
+    schema = "read_id string, aln_index int, barcode string, umi string, gx string, base_a int, base_c int, base_g int, base_t int, velocity string, transcriptome boolean, score int, run_day date, piece int, loaded_at timestamp_ntz"
+    line = lambda umi, read_id, velocity, score, at: (read_id, 1, "ACGT-1", umi, "g", 1, 2, 3, 4, velocity, True, score, dt.date(2031, 1, 1), 1, AT[at] if at is not None else None)
+    rows = [line(f"m{i}", r, v, 1, t) for i in range(survivors.SUPPORT) for r, v, t in (("a", "unspliced", 0), ("b", "spliced", 1))]
+    rows += [line("u", "x", None, 9, 5), line("u", "y", "unspliced", 1, None), line("u", "z", "spliced", 1, None), line("one", "x", None, 9, 5)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/alignments.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW alignments AS SELECT * FROM '{tmp_path}/alignments.parquet/*.parquet'")
+    got = queries.p5_found(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(queries.SQL["p5_found"]).fetchall()) and len(got) == survivors.SUPPORT + 1
+
+    learned = {}
+
+    def nothing(kind, currency, like):
+        learned[like] = currency
+        return F.lit(None).cast(kind)
+
+    monkeypatch.setattr(survivors, "resolve_latest", nothing)
+    with pytest.raises(Exception, match="not filled: velocity"):
+        queries.p5_found(spark, str(tmp_path)).count()
+    assert learned["f0"].after == {"unspliced": {"spliced"}, "spliced": frozenset()} and set(learned) == {"f0", "f1", "f2"}
+
+
+def test_the_least_score_comes_before_none(spark, tmp_path):
+    from labelmill.llm import queries
+
+    schema = "read_id string, aln_index int, barcode string, umi string, gx string, velocity string, transcriptome boolean, score int, loaded_at timestamp_ntz"
+    rows = [("a", 1, "ACGT", "u", "g", "spliced", True, None, AT[3]), ("b", 1, "ACGT", "u", "g", "spliced", True, -(2**31), None), ("c", 1, "ACGT", "u", "g", "spliced", True, -(2**31), AT[0])]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/alignments.parquet")
+    assert [r["read_id"] for r in queries.p5_found(spark, str(tmp_path)).collect()] == ["c"]
+
+
 def test_survivors_against_brute_force(spark):
     rng = random.Random(8)
     rows = [row(f"u{rng.randrange(40)}", f"r{i}", rng.choice([None, "spliced", "ambiguous"]), rng.choice([None, True, False]), rng.choice([None, 1, 2]), rng.choice([None, 1, 2])) for i in range(400)]
